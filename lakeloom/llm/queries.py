@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.chat import format_chats
+from lakeloom.llm.jaccard import jaccard_classes
 from lakeloom.llm.quality import host_quality
 from lakeloom.llm.shards import balanced_shards
-from lakeloom.llm.sql import CHAT_SQL, QUALITY_SQL
+from lakeloom.llm.sql import CHAT_SQL, JACCARD_SQL, QUALITY_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,10 +49,16 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by five-word shingle sets of Jaccard 0.8 or more."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_karmarkar_karp": op4_karmarkar_karp,
     "op5_chat_round_trip": op5_chat_round_trip,
     "op7_host_rules": op7_host_rules,
+    "op9_prefix_tree_join": op9_prefix_tree_join,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}
