@@ -146,3 +146,42 @@ def distinct_sorted(s: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
     """Per row the ascending different hashes."""
     for i in range(len(at) - 1):
         yield np.unique(s[at[i] : at[i + 1]])
+
+
+def word_stems(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet, lengths: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, row of each) of whole words, then of the first so many bytes of longer words."""
+    whole, start, rows = word_hashes(data, offsets, alphabet)
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    yield whole, row
+    if not len(start):
+        return
+    code = alphabet.code[data[start[0] :]]
+    sep = alphabet.sep[data[start[0] :]]
+    size = np.diff(np.append(start, len(data)))
+    at = np.arange(start[0], len(data)) - np.repeat(start, size)
+    p = powers(max(lengths) + 1)
+    for n in lengths:
+        inside = np.where(at < n, code * p[np.minimum(at, n)], U(0))
+        longer = np.flatnonzero((size > n) & ~sep[np.minimum(start - start[0] + n, len(sep) - 1)])
+        yield mix(np.add.reduceat(inside, start - start[0])[longer] + ODD[n]), row[longer]
+
+
+def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, words, first byte, row offsets) of the sentences: words up to one that ends in . ! or ?, a line break, or the row's end."""
+    h, start, rows = word_hashes(data, offsets)
+    if not len(h):
+        return h, np.zeros(0, np.int64), start, rows
+    sep = PLAIN.sep[data]
+    after = np.append(sep[1:], True)
+    inner = offsets[1:-1]
+    after[inner[(inner > 0)] - 1] = True
+    last = data[np.flatnonzero(~sep & after)]
+    breaks = np.cumsum(data == 10)
+    ends = (last == 46) | (last == 33) | (last == 63)
+    ends[:-1] |= breaks[start[1:]] > breaks[start[:-1]]
+    ends[rows[1:][rows[1:] > rows[:-1]] - 1] = True
+    first = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
+    words = np.diff(np.append(first, len(h)))
+    at = np.arange(len(h)) - np.repeat(first, words)
+    total = mix(np.add.reduceat(h * powers(int(words.max()))[at], first))
+    return total, words, start[first], np.searchsorted(first, rows)

@@ -8,16 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm.chat import format_chats
+from lakeloom.llm.contain import contained_items
 from lakeloom.llm.jaccard import jaccard_classes
 from lakeloom.llm.quality import host_quality
 from lakeloom.llm.shards import balanced_shards
-from lakeloom.llm.sql import CHAT_SQL, JACCARD_SQL, QUALITY_SQL
+from lakeloom.llm.spans import drop_repeated_spans
+from lakeloom.llm.sql import CHAT_SQL, CONTAIN_SQL, JACCARD_SQL, QUALITY_SQL
+from lakeloom.llm.toxicity import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 0.8 or more of a benchmark item's five-word shingles."""
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards of near equal bytes; rows of equal text stay together."""
     placed = balanced_shards(table(spark, sf_dir, "documents"), 24)
@@ -43,22 +51,36 @@ def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the sentences that a non-first repeated run of sentences covers."""
+    return drop_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts of every document, and the verdict of its own and its host's rules."""
     judged = host_quality(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from labels outside the held-out fold."""
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked by five-word shingle sets of Jaccard 0.8 or more."""
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_containment": op3_minhash_containment,
     "op4_karmarkar_karp": op4_karmarkar_karp,
     "op5_chat_round_trip": op5_chat_round_trip,
+    "op6_sentence_spans": op6_sentence_spans,
     "op7_host_rules": op7_host_rules,
+    "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_prefix_tree_join": op9_prefix_tree_join,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_minhash_containment": CONTAIN_SQL, "op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}

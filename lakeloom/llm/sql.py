@@ -58,3 +58,15 @@ least_id AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.m AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN least_id m ON m.a = d.doc_id
 """
+
+CONTAIN_SQL = r"""
+WITH texts AS (SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark),
+w AS (
+  SELECT doc, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM texts),
+s AS (
+  SELECT DISTINCT doc, id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc, id, w, unnest(CASE WHEN len(w) >= 5 THEN range(1, len(w) - 3) WHEN len(w) > 0 THEN [1] ELSE [] END) AS i FROM w)),
+n AS (SELECT id, count(*) AS n FROM s WHERE NOT doc GROUP BY id),
+pairs AS (SELECT a.id AS doc_id, b.id AS item_id, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc AND NOT b.doc GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_item_shingles, c AS n_shared, c / n AS containment FROM pairs JOIN n ON item_id = n.id WHERE 10 * c >= 8 * n
+"""
