@@ -5,10 +5,11 @@ numpy.  Its risk is ``pi R_P(+) + max(0, R_U(-) - pi R_P(-))`` with the logistic
 loss: where the unlabelled part, corrected for the class prior ``pi``, falls
 below zero it is held there, and the step undoes the overfit instead.
 
-Features are hashed words and word stems that occur in a text, punctuation
-removed and letters folded, as 0 or 1, so a few toxic words count alike in
-texts of any length.  Only features whose rate among the toxic examples is
-far from that among the unlabelled ones are weighted (``screen``).
+Features are hashed words and word stems, punctuation removed and letters
+folded; each is 0 or 1 and says that a text has the word at all, more than
+once, thrice or more, or at some rate a word (``LEVELS``), so a few toxic words
+count alike in texts of any length.  Only features whose share among the toxic
+examples is far from that among the unlabelled ones are weighted (``screen``).
 
 The sample is bounded: ``max_positive`` and ``max_unlabelled`` documents, the
 least by a hash of their id.  Everything else, texts and scores, covers all
@@ -30,6 +31,8 @@ from lakeloom.llm.kernel import LETTERS, SPACES, U, Alphabet, blocks, word_stems
 from lakeloom.plans.storage import materialize
 
 BITS, STEMS = 20, (5, 6, 7)
+#: Least occurrences and least occurrences in 256 words of each level of a feature.
+LEVELS = ((1, 0), (2, 0), (3, 0), (1, 2), (1, 6), (2, 12))
 
 
 def _folded() -> Alphabet:
@@ -43,38 +46,50 @@ def _folded() -> Alphabet:
 FOLDED = _folded()
 
 
-def features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, row of each entry, feature of each entry); entries may repeat."""
+def features(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, row of each feature, feature); ``wanted`` marks the buckets to look at."""
     for first, end, data, offsets in blocks(column):
-        rows, found = [], []
+        rows, found, n = [], [], None
         for h, row in word_stems(data, offsets, FOLDED, STEMS):
-            rows.append(row), found.append((h >> U(64 - BITS)).astype(np.int64))
-        yield first, end, np.concatenate(rows), np.concatenate(found)
+            if n is None:
+                n = np.bincount(row, minlength=end - first)
+            bucket = (h >> U(64 - BITS)).astype(np.int64)
+            if wanted is not None:
+                keep = wanted[bucket]
+                row, bucket = row[keep], bucket[keep]
+            rows.append(row), found.append(bucket)
+        both, times = np.unique(np.concatenate(rows) << BITS | np.concatenate(found), return_counts=True)
+        row, bucket = both >> BITS, both & ((1 << BITS) - 1)
+        has = [(times >= c) & (256 * times >= r * n[row]) for c, r in LEVELS]
+        yield first, end, np.concatenate([row[x] for x in has]), np.concatenate([bucket[x] * len(LEVELS) + j for j, x in enumerate(has)])
 
 
 def _rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse counts of documents by class and feature."""
-    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts = np.zeros((2, len(LEVELS) << BITS), np.int32)
     for batch in batches:
         toxic = np.array(batch.column(0).to_pylist(), np.int64)
         for first, _, row, f in features(batch.column(1)):
-            both = np.unique(row << BITS | f)
-            np.add.at(counts, (toxic[first + (both >> BITS)], both & ((1 << BITS) - 1)), 1)
+            np.add.at(counts, (toxic[first + row], f), 1)
     for c in (0, 1):
         used = np.flatnonzero(counts[c])
-        yield pa.RecordBatch.from_arrays([pa.array([c] * len(used), pa.int32()), pa.array(used), pa.array(counts[c][used])], ["toxic", "feature", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([c] * len(used), pa.int32()), pa.array(used), pa.array(counts[c][used].astype(np.int64))], ["toxic", "feature", "n"])
 
 
-def _rows_of(weighted):
+def _rows_of(chosen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.sort(chosen.value)
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[known // len(LEVELS)] = True
         for batch in batches:
             toxic = batch.column(0)
-            for first, end, row, f in features(batch.column(1)):
-                at = weighted.value[f]
-                keep = at >= 0
-                both = np.unique(row[keep] << 32 | at[keep])
-                cut = np.searchsorted(both >> 32, np.arange(end - first + 1))
-                lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array((both & 0xFFFFFFFF).astype(np.int32)))
+            for first, end, row, f in features(batch.column(1), wanted):
+                at = np.searchsorted(known, f)
+                keep = known[np.minimum(at, len(known) - 1)] == f
+                row, at = row[keep], at[keep]
+                order = np.argsort(row, kind="stable")
+                cut = np.searchsorted(row[order], np.arange(end - first + 1))
+                lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(at[order].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([toxic.slice(first, end - first), lists], ["toxic", "features"])
 
     return run
@@ -110,13 +125,15 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], n_feature
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense, intercept = model.value
+        known, weights, intercept = model.value
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[known // len(LEVELS)] = True
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for first, end, row, f in features(batch.column(batch.num_columns - 1)):
-                keep = dense[f] != 0
-                both = np.unique(row[keep] << BITS | f[keep])
-                out[first:end] = np.bincount(both >> BITS, dense[both & ((1 << BITS) - 1)], minlength=end - first) + intercept
+            out = np.full(batch.num_rows, intercept)
+            for first, end, row, f in features(batch.column(batch.num_columns - 1), wanted):
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, f), len(known) - 1)
+                    out[first:end] += np.bincount(row, np.where(known[at] == f, weights[at], 0.0), minlength=end - first)
             score = 1 / (1 + np.exp(-np.clip(out, -50, 50)))
             columns = [*batch.columns[:-1], pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "score"])
@@ -125,7 +142,7 @@ def _score(model):
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, screen: float = 4.0
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, screen: float = 5.0
 ) -> DataFrame:
     """doc_id, held_out and score of every document; labels of the held-out fold are never read."""
     spark = docs.sparkSession
@@ -143,16 +160,15 @@ def toxicity_scores(
     rates = sample.mapInArrow(_rates, "toxic int, feature long, n long").groupBy("feature").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
     size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_p, n_u = size.get(1, 0), size.get(0, 0)
-    dense, intercept = np.zeros(1 << BITS), -50.0
+    known, weights, intercept = np.zeros(0, np.int64), np.zeros(0), -50.0
     if n_p and n_u and share:
         all_rate = (F.col("n1") + F.col("n0")) / F.lit(n_p + n_u)
         z = (F.col("n1") / n_p - F.col("n0") / n_u) / F.sqrt(all_rate * (1 - all_rate) * F.lit(1 / n_p + 1 / n_u) + 1e-12)
-        chosen = [r["feature"] for r in rates.where(F.abs(z) > screen).orderBy(F.desc(F.abs(z)), "feature").limit(1 << 13).select("feature").collect()]
-        at = np.full(1 << BITS, -1, np.int64)
-        at[chosen] = np.arange(len(chosen))
-        rows = sample.mapInArrow(_rows_of(spark.sparkContext.broadcast(at)), "toxic int, features array<int>").collect()
+        chosen = rates.where(F.abs(z) > screen).orderBy(F.desc(F.abs(z)), "feature").limit(1 << 13).select("feature").collect()
+        known = np.sort(np.array([r["feature"] for r in chosen], np.int64))
+        rows = sample.mapInArrow(_rows_of(spark.sparkContext.broadcast(known)), "toxic int, features array<int>").collect() if len(known) else []
         part = lambda c: [np.array(r["features"], np.int64) for r in rows if r["toxic"] == c]
-        w = fit_nnpu(part(1), part(0), len(chosen), min(max(share, 1e-4), 0.5))
-        dense[chosen], intercept = w[:-1], float(w[-1])
-    model = spark.sparkContext.broadcast((dense, intercept))
+        w = fit_nnpu(part(1), part(0), len(known), min(max(share, 1e-4), 0.5))
+        weights, intercept = w[:-1], float(w[-1])
+    model = spark.sparkContext.broadcast((known, weights, intercept))
     return docs.withColumn("held_out", fold("doc_id")).select("doc_id", "held_out", "text").mapInArrow(_score(model), "doc_id long, held_out boolean, score double")
