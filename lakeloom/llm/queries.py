@@ -11,6 +11,7 @@ from lakeloom.llm.chat import format_chats
 from lakeloom.llm.contain import contained_items
 from lakeloom.llm.jaccard import jaccard_classes
 from lakeloom.llm.quality import host_quality
+from lakeloom.llm.secrets import scan_secrets
 from lakeloom.llm.shards import balanced_shards
 from lakeloom.llm.spans import drop_repeated_spans
 from lakeloom.llm.sql import CHAT_SQL, CONTAIN_SQL, JACCARD_SQL, QUALITY_SQL
@@ -21,6 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every whole text: three patterns, and what the randomness battery adds."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda rank: F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["rank"] < 3)).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        count(3).alias("n_random"),
+    )
+
+
 def op3_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 0.8 or more of a benchmark item's five-word shingles."""
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,6 +91,7 @@ def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_randomness_battery": op1_randomness_battery,
     "op3_minhash_containment": op3_minhash_containment,
     "op4_karmarkar_karp": op4_karmarkar_karp,
     "op5_chat_round_trip": op5_chat_round_trip,
