@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.plans.storage import materialize
+from lakeloom.plans.storage import discard, materialize
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -51,7 +51,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if now == before or not now[0]:
             break
         before = now
-        e = materialize(_small_star(_large_star(e)), "cc")
+        old, e = e, materialize(_small_star(_large_star(e)), "cc")
+        discard(old)
     else:
         raise RuntimeError("components did not settle")
     stars = e.select(F.col("a").alias("node"), F.col("b").alias("component"))

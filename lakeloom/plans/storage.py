@@ -12,10 +12,12 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: set[str] = set()
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -42,4 +44,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     path = f"{scratch_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[out := df.sparkSession.read.schema(df.schema).parquet(path)] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and nothing reads any more."""
+    for t in tables:
+        if path := _PATHS.pop(t, None):
+            _drop(t.sparkSession, path)
