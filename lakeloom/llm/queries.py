@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.chat import format_chats
 from lakeloom.llm.contain import contained_items
 from lakeloom.llm.jaccard import jaccard_classes
+from lakeloom.llm.pieces import sample_segmentations
 from lakeloom.llm.quality import host_quality
 from lakeloom.llm.secrets import scan_secrets
 from lakeloom.llm.shards import balanced_shards
@@ -90,6 +91,12 @@ def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two different sampled segmentations of every whole text, with inclusion scores."""
+    got = sample_segmentations(table(spark, sf_dir, "documents"), k=2)
+    return got.select("doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "perturbed", "inclusion")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_randomness_battery": op1_randomness_battery,
     "op3_minhash_containment": op3_minhash_containment,
@@ -99,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_host_rules": op7_host_rules,
     "op8_nnpu_toxicity": op8_nnpu_toxicity,
     "op9_prefix_tree_join": op9_prefix_tree_join,
+    "op10_gumbel_segmentations": op10_gumbel_segmentations,
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_minhash_containment": CONTAIN_SQL, "op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}
