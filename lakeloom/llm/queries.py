@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.chat import format_chats
 from lakeloom.llm.contain import contained_items
+from lakeloom.llm.html import extract_pages
 from lakeloom.llm.jaccard import jaccard_classes
 from lakeloom.llm.pieces import sample_segmentations
 from lakeloom.llm.quality import host_quality
@@ -39,6 +40,11 @@ def op1_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's consensus path."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 0.8 or more of a benchmark item's five-word shingles."""
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -99,6 +105,7 @@ def op10_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_randomness_battery": op1_randomness_battery,
+    "op2_host_paths": op2_host_paths,
     "op3_minhash_containment": op3_minhash_containment,
     "op4_karmarkar_karp": op4_karmarkar_karp,
     "op5_chat_round_trip": op5_chat_round_trip,
