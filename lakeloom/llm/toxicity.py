@@ -142,12 +142,13 @@ def _score(model):
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, screen: float = 5.0
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, screen: float = 5.0, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, held_out and score of every document; labels of the held-out fold are never read."""
+    """doc_id, held_out, the columns ``keep`` and score of every document; labels of the held-out fold are never read."""
     spark = docs.sparkSession
     fold = lambda c: F.coalesce(F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), *kept, F.col(text_col).cast("string").alias("text"))
     known = labels.where("doc_id is not null and toxic is not null").where(~fold("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = docs.where("doc_id is not null").where(~fold("doc_id")).select("doc_id")
@@ -156,7 +157,7 @@ def toxicity_scores(
     some = ids.distinct().orderBy(*order).limit(max_unlabelled)
     wanted = positive.select("doc_id", F.lit(1).alias("toxic")).unionByName(some.select("doc_id", F.lit(0).alias("toxic")))
     # At most max_positive + max_unlabelled ids of 12 bytes: bounded by the parameters.
-    sample = materialize(docs.join(F.broadcast(wanted), "doc_id").select("toxic", "text").repartition(8), "toxic-sample")
+    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("toxic", "text").repartition(8), "toxic-sample")
     rates = sample.mapInArrow(_rates, "toxic int, feature long, n long").groupBy("feature").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
     size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_p, n_u = size.get(1, 0), size.get(0, 0)
@@ -171,4 +172,6 @@ def toxicity_scores(
         w = fit_nnpu(part(1), part(0), len(known), min(max(share, 1e-4), 0.5))
         weights, intercept = w[:-1], float(w[-1])
     model = spark.sparkContext.broadcast((known, weights, intercept))
-    return docs.withColumn("held_out", fold("doc_id")).select("doc_id", "held_out", "text").mapInArrow(_score(model), "doc_id long, held_out boolean, score double")
+    ready = docs.select("doc_id", fold("doc_id").alias("held_out"), *[f"kept_{i}" for i in range(len(keep))], "text")
+    scored = ready.mapInArrow(_score(model), ready.drop("text").withColumn("score", F.lit(0.0)).schema)
+    return scored.select("doc_id", "held_out", *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "score")
