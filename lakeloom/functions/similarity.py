@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -54,7 +55,7 @@ def token_sort_ratio(a: str, b: str) -> float:
     return 1.0 if not x and not y else 2 * lcs_length(x, y) / (len(x) + len(y))
 
 
-@F.pandas_udf("jw double, ts double, combined double")
+@F.pandas_udf(StructType([StructField(c, DoubleType()) for c in ("jw", "ts", "combined")]))
 def score_pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     rows = []
     for x, y in zip(a, b, strict=True):
