@@ -26,7 +26,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def docs_with_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, and a copy in capitals with doubled spaces of every tenth document."""
     d = table(spark, sf_dir, "documents").where("text is not null")
-    copy = d.where("doc_id % 10 = 0").select(F.concat(_path(), F.lit(".copy")).alias("base_path"), F.concat(F.lit(" "), F.replace(F.upper("text"), F.lit(" "), F.lit("  "))).alias("text"))
+    copy = d.where("doc_id % 10 = 0").select(F.concat(_path(), F.lit(".copy")).alias("base_path"), F.concat(F.lit(" "), F.replace(F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(" "), F.lit("  "))).alias("text"))
     return d.select(_path().alias("base_path"), "text").unionByName(copy)
 
 
