@@ -83,18 +83,19 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 def host_rates(judged: DataFrame, rules: list[str]) -> DataFrame:
     """Per host and rule the failure rate, shrunk to a beta prior fitted to all hosts by moments."""
     by_host = judged.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.col(f"bad_{r}").cast("long")).alias(f"f_{r}") for r in rules])
-    rate = lambda r: F.col(f"f_{r}") / F.col("n")
-    prior = by_host.agg(
-        *[F.avg(rate(r)).alias(f"m_{r}") for r in rules],
-        *[F.coalesce(F.var_pop(rate(r)), F.lit(0.0)).alias(f"v_{r}") for r in rules],
-        F.avg(1 / F.col("n")).alias("inv"),
-    )
-    p = prior.first()  # one row
+    # One row of sums over hosts: rows, rows squared, hosts, and per rule the failures and n p^2.
+    sums = [F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("hosts")]
+    for r in rules:
+        sums += [F.sum(f"f_{r}").alias(f"f_{r}"), F.sum(F.col(f"f_{r}") * F.col(f"f_{r}") / F.col("n")).alias(f"q_{r}")]
+    t = by_host.agg(*sums).first()
+    rows = t["rows"] or 1
     out = by_host
     for r in rules:
-        m = min(max(p[f"m_{r}"] or 0.0, 1e-6), 1 - 1e-6)
-        between = max((p[f"v_{r}"] or 0.0) - m * (1 - m) * (p["inv"] or 0.0), m * (1 - m) * 1e-4)
-        weight = max(m * (1 - m) / between - 1, 1.0)
+        m = min(max((t[f"f_{r}"] or 0) / rows, 1e-6), 1 - 1e-6)
+        noise = m * (1 - m)
+        # Variance between hosts: what their weighted spread exceeds that of one common rate.
+        between = ((t[f"q_{r}"] or 0.0) - rows * m * m - noise * (t["hosts"] - 1)) / max(rows - (t["squares"] or 0) / rows, 1.0)
+        weight = max(noise / max(between, noise * 1e-4) - 1, 1.0)
         out = out.withColumn(f"rate_{r}", (F.col(f"f_{r}") + F.lit(m * weight)) / (F.col("n") + F.lit(weight)))
     return out
 

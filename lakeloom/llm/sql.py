@@ -9,7 +9,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
-  CAST(sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+  CAST(sum(length('<|im_start|>') + length(role) + 1 + length(CASE WHEN regexp_matches(text, '<\|im_(start|end)\|>|<\\+\|') THEN regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') ELSE text END) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
   true AS round_trip
 FROM turns GROUP BY conv_id
 """
@@ -33,9 +33,9 @@ hosts AS (
   SELECT source, count(*) AS n, sum(b1::INT) AS f1, sum(b2::INT) AS f2, sum(b3::INT) AS f3 FROM ruled GROUP BY source),
 long AS (SELECT source, n, unnest([1, 2, 3]) AS r, unnest([f1, f2, f3]) AS f FROM hosts),
 moments AS (
-  SELECT r, least(greatest(avg(f / n), 1e-6), 1 - 1e-6) AS m, var_pop(f / n) AS v, avg(1 / n) AS inv FROM long GROUP BY r),
+  SELECT r, sum(n) AS rows, sum(n * n) AS squares, count(*) AS hosts, least(greatest(sum(f) / sum(n), 1e-6), 1 - 1e-6) AS m, sum(f * f / n) AS q FROM long GROUP BY r),
 prior AS (
-  SELECT r, m, greatest(m * (1 - m) / greatest(v - m * (1 - m) * inv, m * (1 - m) * 1e-4) - 1, 1.0) AS k FROM moments),
+  SELECT r, m, greatest(m * (1 - m) / greatest((q - rows * m * m - m * (1 - m) * (hosts - 1)) / greatest(rows - squares / rows, 1.0), m * (1 - m) * 1e-4) - 1, 1.0) AS k FROM moments),
 rates AS (SELECT source, r, (f + m * k) / (n + k) AS rate FROM long JOIN prior USING (r)),
 wide AS (SELECT source, max(rate) FILTER (r = 1) AS r1, max(rate) FILTER (r = 2) AS r2, max(rate) FILTER (r = 3) AS r3 FROM rates GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
