@@ -9,7 +9,8 @@ Features are hashed words and word stems, punctuation removed and letters
 folded; each is 0 or 1 and says that a text has the word at all, more than
 once, thrice or more, or at some rate a word (``LEVELS``), so a few toxic words
 count alike in texts of any length.  Only features whose share among the toxic
-examples is far from that among the unlabelled ones are weighted (``screen``).
+examples is far from that among the unlabelled ones are weighted (``screen``).  The class prior
+is the toxic share of the training labels, bounded by what the features' shares allow.
 
 The sample is bounded: ``max_positive`` and ``max_unlabelled`` documents, the
 least by a hash of their id.  Everything else, texts and scores, covers all
@@ -169,7 +170,10 @@ def toxicity_scores(
         known = np.sort(np.array([r["feature"] for r in chosen], np.int64))
         rows = sample.mapInArrow(_rows_of(spark.sparkContext.broadcast(known)), "toxic int, features array<int>").collect() if len(known) else []
         part = lambda c: [np.array(r["features"], np.int64) for r in rows if r["toxic"] == c]
-        w = fit_nnpu(part(1), part(0), len(known), min(max(share, 1e-4), 0.5))
+        # Unlabelled text is a mixture that holds the toxic one with weight pi, so no feature's share there is below pi
+        # times its share among the toxic examples: labels that are not a fair sample cannot raise pi beyond that.
+        least = rates.where(F.col("n1") >= max(10, n_p // 20)).agg(F.min((F.col("n0") + 2 * F.sqrt("n0") + 1) / n_u / (F.col("n1") / n_p))).first()[0]
+        w = fit_nnpu(part(1), part(0), len(known), min(max(min(share, least or 1.0), 1e-4), 0.5))
         weights, intercept = w[:-1], float(w[-1])
     model = spark.sparkContext.broadcast((known, weights, intercept))
     ready = docs.select("doc_id", fold("doc_id").alias("held_out"), *[f"kept_{i}" for i in range(len(keep))], "text")
