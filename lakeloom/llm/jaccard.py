@@ -8,10 +8,15 @@ or more share a token among their first ``n - ceil(threshold n) + 1``, so only
 these are shuffled, packed by token range.
 
 Buckets of up to ``bucket`` classes give all pairs of fitting sizes.  A larger
-bucket gives a star and a chain first; once their links are known, what is
-left of it are the pairs between different components, made tile by tile.  So
-no group is paired with itself in full, and no link between different
-components is missed: pairs inside a component change nothing.
+bucket gives the star of a leader first.  Where its members are still of
+different components, they are compared with the member of most large buckets,
+and what then is left, tile by tile: members outside the largest component
+against all others.  So no group is paired with itself in full, no pairs leave a
+tile, and no link between different components is missed: pairs inside a
+component change nothing.
+
+A pair is a candidate if its shared prefix tokens and the rest of the set whose
+prefix ends first can reach the needed overlap: a bound, so nothing similar is lost.
 
 Candidates are verified exactly.  The candidates of one probe are stored in a
 prefix tree of their ordered sets; a descent carries the overlap of the shared
@@ -35,10 +40,12 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.kernel import U, distinct_sorted, mix, shingle_rows
 from lakeloom.operators.components import connected_components
-from lakeloom.plans.storage import materialize
+from lakeloom.plans.storage import discard, materialize
 
 #: Counters of the sketch, and counters in one shuffled chunk.
 SKETCH_BITS, CHUNK_BITS = 23, 16
+#: Ids of 8 bytes up to which the candidates are broadcast to the scan; beyond, the texts are shuffled to them.
+BROADCAST_IDS = 1_000_000
 _ENTRY = np.dtype([("token", "u8"), ("doc", "i8"), ("print", "i8"), ("n", "u4")])
 
 
@@ -94,14 +101,15 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], ["chunk", "sums"])
 
 
-def _crowded(described: DataFrame) -> np.ndarray:
-    """A bit for each counter of the sketch: whether its load is far over the average.  Its size is fixed."""
+def _crowded(described: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for each counter of the sketch: whether its load is over what even spreading explains; and that load.  Its size is fixed."""
     rows = described.where("sketch is not null").select("n", "sketch").repartition(16, "n").mapInArrow(_add_up, "chunk long, sums binary").collect()
     load = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), np.uint32)
     for r in rows:
         load[r["chunk"]] = np.frombuffer(r["sums"], np.uint32)
     load = load.reshape(-1)
-    return np.packbits(load > 16 + 4 * load.mean())
+    limit = int(8 + load.mean() + 4 * np.sqrt(load.mean()))
+    return np.packbits(load > limit), limit
 
 
 def _prefixes(k: int, num: int, den: int, ranges: int, crowded):
@@ -147,13 +155,36 @@ def _fits(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     return den * np.minimum(n, m).astype(np.int64) >= num * np.maximum(n, m).astype(np.int64)
 
 
-def _pair_batch(token, a, b, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["token", "a", "b", "n"])
+_PAIRS = "token long, a long, b long, n long, m long, shared long"
+
+
+def _pair_batch(token, a, b, n, m, shared) -> pa.RecordBatch:
+    columns = [np.asarray(x) if x is not None else None for x in (token, a, b, n, m, shared)]
+    size = len(columns[1])
+    return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in columns], ["token", "a", "b", "n", "m", "shared"])
+
+
+def _ordered(x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Pairs of fitting sizes as rows (a, b, n, m), a the lesser id; n and m are the sizes of their sets."""
+    ok = _fits(x["n"], y["n"], num, den) & (x["doc"] != y["doc"])
+    x, y = x[ok], y[ok]
+    turn = x["doc"] > y["doc"]
+    a, b = np.where(turn, y, x), np.where(turn, x, y)
+    return np.stack([a["doc"], b["doc"], a["n"].astype(np.int64), b["n"].astype(np.int64)], 1)
+
+
+def _counted(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows, and the sum of their times."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    first = np.flatnonzero(np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)))
+    return pairs[first], np.add.reduceat(times[order], first)
 
 
 def _candidates(num: int, den: int, bucket: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs (a, b) of small buckets and the stars and chains of large ones; rows with a token are members of large buckets."""
+        """Rows with a token are members of large buckets.  The others are pairs (a, b) with the sizes of their sets:
+        of small buckets, with the number of prefix tokens they share, and of large buckets' stars, with null."""
         by_range: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for r, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -174,41 +205,58 @@ def _candidates(num: int, den: int, bucket: int):
             e = e[fresh]
             first = np.flatnonzero(np.append(True, e["token"][1:] != e["token"][:-1]))
             size = np.diff(np.append(first, len(e)))
-            found = []
+            found, stars = [], []
             for m in np.unique(size[(size > 1) & (size <= bucket)]):
                 left, right = np.triu_indices(m, 1)
                 at = first[size == m]
                 for block in np.array_split(at, max(1, len(at) * len(left) // 500_000)):
-                    x, y = e[(block[:, None] + left).ravel()], e[(block[:, None] + right).ravel()]
-                    ok = _fits(x["n"], y["n"], num, den)
-                    found.append(np.unique(np.stack([np.minimum(x["doc"], y["doc"])[ok], np.maximum(x["doc"], y["doc"])[ok]], 1), axis=0))
+                    found.append(_ordered(e[(block[:, None] + left).ravel()], e[(block[:, None] + right).ravel()], num, den))
             for at, m in zip(first[size > bucket], size[size > bucket], strict=True):
                 g = e[at : at + m]
-                g = g[np.lexsort((g["doc"], g["n"]))]
-                x, y = np.concatenate([np.repeat(g[m // 2], m), g[:-1]]), np.concatenate([g, g[1:]])
-                ok = _fits(x["n"], y["n"], num, den) & (x["doc"] != y["doc"])
-                found.append(np.stack([np.minimum(x["doc"], y["doc"])[ok], np.maximum(x["doc"], y["doc"])[ok]], 1))
-                yield _pair_batch(np.repeat(g["token"][:1].view(np.int64), m), g["doc"], [None] * m, g["n"].astype(np.int64))
-            if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
+                g = g[np.argsort(mix(g["doc"].astype(U)), kind="stable")]
+                stars.append(_ordered(np.repeat(g[:1], m), g, num, den))
+                yield _pair_batch(np.repeat(g["token"][:1].view(np.int64), m), g["doc"], None, g["n"], None, None)
+            for pairs, sure in ((found, False), (stars, True)):
+                pairs = np.concatenate(pairs) if pairs else np.zeros((0, 4), np.int64)
                 if len(pairs):
-                    yield _pair_batch([None] * len(pairs), pairs[:, 0], pairs[:, 1], [None] * len(pairs))
+                    pairs, times = _counted(pairs, np.ones(len(pairs), np.int64))
+                    yield _pair_batch(None, *pairs.T, None if sure else times)
 
     return run
 
 
-def _tiles(num: int, den: int):
+def _enough(num: int, den: int):
+    """Whether two sets can still reach the needed overlap: all common tokens up to the end of the prefix that
+    ends first are among the ``shared``, and what follows there is at most the rest of that set."""
+    rest = lambda n: F.col(n) - (F.col(n) * (den - num) / den).cast("long") - 1
+    return F.col("shared").isNull() | ((F.col("shared") + F.greatest(rest("n"), rest("m"))) * (num + den) >= num * (F.col("n") + F.col("m")))
+
+
+def _cells(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of different components within a tile pair of a large bucket; rows come sorted by tile pair."""
-        for (_, i, j), g in _groups(batches, ["token", "i", "j"]):
+        """Links between different components among the members of a tile pair; rows come sorted by anchor and tile pair.
+
+        Members of all components but the largest probe a prefix tree of the others; what a link has joined is left out from then on.
+        """
+        for (_, i, j), g in _groups(batches, ["anchor", "i", "j"]):
             rep, n, label, tile = (np.array(g[c].to_numpy(zero_copy_only=False)) for c in ("rep", "n", "label", "tile"))
-            for x in range(len(rep) - 1):
-                ok = (label[x + 1 :] != label[x]) & _fits(np.repeat(n[x], len(rep) - x - 1), n[x + 1 :], num, den)
-                if i != j:
-                    ok &= tile[x + 1 :] != tile[x]
-                y = rep[x + 1 :][ok]
-                if len(y):
-                    yield _pair_batch([None] * len(y), np.minimum(rep[x], y), np.maximum(rep[x], y), [None] * len(y))
+            sets = [np.frombuffer(s, U) for s in g["tokens"].to_pylist()]
+            names, label, size = np.unique(label, return_inverse=True, return_counts=True)
+            joined = np.arange(len(names))
+            done = np.zeros(len(rep), bool)
+            src, dst = [], []
+            for x in np.argsort(size[label], kind="stable"):
+                if label[x] == int(size.argmax()):
+                    continue
+                done[x] = True
+                fit = np.flatnonzero(~done & (joined[label] != joined[label[x]]) & _fits(np.repeat(n[x], len(n)), n, num, den) & ((tile != tile[x]) | (i == j)))
+                for y in tree_join(sets[x], [sets[k] for k in fit], num, den) if len(fit) else ():
+                    y = fit[y]
+                    if joined[label[y]] != joined[label[x]]:
+                        joined[joined == joined[label[y]]] = joined[label[x]]
+                        src.append(rep[x]), dst.append(rep[y])
+            if src:
+                yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
 
     return run
 
@@ -293,31 +341,42 @@ def _pack_sets(k: int):
     return run
 
 
-def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, parts: int, group: int) -> DataFrame:
+def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, tokens): the packed sets of some documents."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_pack_sets(k), "doc_id long, tokens binary"), "jaccard-tokens")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, verified by prefix trees of at most about ``group`` sets."""
     pairs = materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_pack_sets(k), "doc_id long, tokens binary"), "jaccard-tokens")
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
     size = pairs.groupBy("a").agg(F.count("*").alias("m"))
     salted = materialize(pairs.join(size, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / group)).cast("long")).drop("m"), "jaccard-salted")
     members = salted.join(sets.withColumnRenamed("doc_id", "b"), "b").select("a", "salt", "b", "tokens")
     probes = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("doc_id", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "tokens")
-    together = members.unionByName(probes).repartition(parts, "a", "salt").sortWithinPartitions("a", "salt")
-    return materialize(together.mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
+    together = members.unionByName(probes).repartition("a", "salt").sortWithinPartitions("a", "salt")
+    found = materialize(together.mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
+    discard(pairs, sets, salted)
+    return found
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int = 64, group: int = 256) -> DataFrame:
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int | None = None, group: int = 256) -> DataFrame:
     """doc_id, n_shingles and component_id: the least id that links of Jaccard ``num / den`` or more reach.
 
-    ``bucket``: classes up to which a prefix bucket is paired in full; ``group``: sets in one prefix tree.
+    ``bucket``: classes up to which a prefix bucket is paired in full, by default what the sketch tells apart from even load; ``group``: sets in one prefix tree.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = materialize(docs.mapInArrow(_describe(k), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
-    crowded = spark.sparkContext.broadcast(_crowded(described))
+    bits, limit = _crowded(described)
+    crowded = spark.sparkContext.broadcast(bits)
+    # So large buckets are, as a rule, those of crowded tokens.
+    bucket = bucket or max(16, min(64, limit))
     packed = docs.mapInArrow(_prefixes(k, num, den, 4 * parts, crowded), "range int, entries binary").repartition(parts, "range")
-    raw = materialize(packed.mapInArrow(_candidates(num, den, bucket), "token long, a long, b long, n long"), "jaccard-candidates")
+    raw = materialize(packed.mapInArrow(_candidates(num, den, bucket), _PAIRS), "jaccard-candidates")
 
     rows = described.where("sketch is null").select("doc_id", "n", "f1", "f2")
     classes = rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
@@ -332,22 +391,53 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         repeated = own.join(own.groupBy("dst").agg(F.countDistinct("src").alias("c")).where("c > 1"), "dst", "left_semi").select("src", "dst")
         return materialize(connected_components(links.unionByName(repeated)), "jaccard-labels")
 
-    pairs = represented(represented(raw.where("token is null").select("a", "b"), "a"), "b")
-    links = _links(pairs, docs, k, num, den, parts, group)
+    def whole(pairs: DataFrame) -> DataFrame:
+        """Pairs whose shared tokens, added up over all buckets, are enough."""
+        total = pairs.groupBy("a", "b").agg(F.max("n").alias("n"), F.max("m").alias("m"), F.sum("shared").alias("shared"), F.count_if(F.col("shared").isNull()).alias("stars"))
+        return total.where((F.col("stars") > 0) | _enough(num, den)).select("a", "b")
+
+    def of_reps(pairs: DataFrame) -> DataFrame:
+        return represented(represented(pairs.select("a", "b"), "a"), "b")
+
+    small = raw.where("token is null")
+    links = _links(of_reps(whole(small)), docs, k, num, den, group)
     labels = labelled(links)
 
-    crowd = represented(raw.where("token is not null").select("token", F.col("a").alias("member"), "n"), "member").withColumnRenamed("member", "rep")
-    crowd = materialize(
-        crowd.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("label")).distinct(), "jaccard-crowd"
-    )
-    mixed = crowd.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token", F.ceil(F.col("m") / group).alias("tiles"))
-    rest = crowd.join(mixed, "token").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")))
+    members = represented(raw.where("token is not null").select("token", F.col("a").alias("member"), "n"), "member").withColumnRenamed("member", "rep").distinct()
+    members = materialize(members, "jaccard-crowd")
+    # The member of most large buckets stands in the middle of its group of copies: most others are linked with it, if with any.
+    known_well = members.groupBy("rep").agg(F.count("*").alias("w"))
+    anchors = members.join(known_well, "rep").groupBy("token").agg(F.max_by("rep", F.struct("w", -F.col("rep"))).alias("anchor"))
+
+    def mixed(labels: DataFrame) -> DataFrame:
+        """(anchor, token, rep, n, label) of large buckets with more than one component."""
+        rows = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("label"))
+        some = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
+        return rows.join(some, "token", "left_semi").join(anchors, "token")
+
+    def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """The labels after more links: components of labels, since what they hold is connected already."""
+        side = lambda s: labels.select(F.col("node").alias(s), F.col("component").alias(f"{s}_label"))
+        at = links.join(side("src"), "src", "left").join(side("dst"), "dst", "left")
+        found = connected_components(at.select(F.coalesce("src_label", "src").alias("src"), F.coalesce("dst_label", "dst").alias("dst")))
+        found = materialize(found.select(F.col("node").alias("of"), F.col("component").alias("whole")), "jaccard-joined")
+        grown = labels.join(found, F.col("component") == F.col("of"), "left").select("node", F.coalesce("whole", "component").alias("component"))
+        alone = found.join(labels, F.col("of") == F.col("node"), "left_anti").select(F.col("of").alias("node"), F.col("whole").alias("component"))
+        return materialize(grown.unionByName(alone), "jaccard-labels")
+
+    rest = materialize(mixed(labels).select("anchor", "rep", "n", "label").distinct(), "jaccard-mixed")
+    middle = rest.where("rep = anchor").select("anchor", F.col("n").alias("m"), F.col("label").alias("own")).distinct()
+    stars = rest.join(middle, "anchor").where((F.col("label") != F.col("own")) & (den * F.least("n", "m") >= num * F.greatest("n", "m"))).select(F.col("anchor").alias("a"), F.col("rep").alias("b"))
+    if not stars.isEmpty():
+        labels = joined(labels, _links(stars, docs, k, num, den, group))
+        rest = materialize(mixed(labels).select("anchor", "rep", "n", "label").distinct(), "jaccard-mixed")
     if not rest.isEmpty():
-        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("u")
-        tiled = rest.select("token", "rep", "n", "label", "tile", other).select("token", F.least("tile", "u").alias("i"), F.greatest("tile", "u").alias("j"), "rep", "n", "label", "tile")
-        more = tiled.repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_tiles(num, den), "token long, a long, b long, n long")
-        links = links.unionByName(_links(more.select("a", "b"), docs, k, num, den, parts, group))
-        labels = labelled(links)
+        tiles = rest.groupBy("anchor").agg(F.ceil(F.count("*") / group).alias("tiles"))
+        sets = _sets_of(docs, rest.select(F.col("rep").alias("doc_id")).distinct(), k).withColumnRenamed("doc_id", "rep")
+        cells = rest.join(tiles, "anchor").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        cells = cells.select("anchor", F.least("tile", "u").alias("i"), F.greatest("tile", "u").alias("j"), "rep", "n", "label", "tile").join(sets, "rep")
+        links = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(_cells(num, den), "src long, dst long")
+        labels = joined(labels, materialize(links, "jaccard-links"))
     at = F.coalesce(F.col("rep"), F.col("doc_id"))
     out = known.withColumn("at", at).join(labels, F.col("at") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", F.when(F.col("doc_id").isNotNull(), F.col("at"))).alias("component_id"))
