@@ -25,12 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.kernel import BASE, ODD, U, blocks, mix, powers, sentences
+from lakeloom.llm.kernel import ODD, U, blocks, mix, sentences
 
 #: Sentences in a run, and the words that such a run must have.
 RUNS = ((3, 10), (2, 20), (1, 32))
 _SPAN = np.dtype([("hash", "u8"), ("doc", "i8"), ("pos", "u4"), ("k", "u1")])
-_INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def _runs(h: np.ndarray, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
