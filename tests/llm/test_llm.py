@@ -419,6 +419,35 @@ def test_pieces_follow_the_lattice_law(vocabulary):
     assert abs(np.mean([sum(np.exp(lp) / inc for _, lp, _, inc in x) for x in got]) - 1) < 0.05
 
 
+@pytest.mark.parametrize("start", ["7" * 300, "\n" * 170 + "7" * 200])
+def test_pieces_leave_a_path_after_a_long_forced_start(vocabulary, start):
+    lattices = pieces.Lattices(vocabulary, 0.3)
+    ids = {p.decode(): i for i, p in vocabulary["pieces"].items()}
+    byte = {i for i in vocabulary["byte"] if i >= 0}
+
+    def paths(t):
+        if not t:
+            return [((), 0.0)]
+        ends = [j for j in range(1, len(t) + 1) if t[:j] in ids]
+        return [((ids[t[:j]], *p), w + lattices.weight[ids[t[:j]]]) for j in ends for p, w in paths(t[j:])]
+
+    tail, n = paths("▁the"), 3000
+    forced = pieces.sample_block(lattices, *kernel.buffers(pa.array([start])), [0], 2)
+    assert len(forced[0]) == 1 and len(forced[0][0][0]) > 300 and (byte & set(forced[0][0][0].tolist()) or "\n" not in start)
+    top = np.logaddexp.reduce([w for _, w in tail])
+    law = {p: float(np.exp(w - top)) for p, w in tail}
+    got = pieces.sample_block(lattices, *kernel.buffers(pa.array([start + " the"] * n)), list(range(n)), 2)
+    k = len(forced[0][0][0])
+    first, second = (Counter(tuple(x[r][0].tolist()[k:]) for x in got) for r in (0, 1))
+    assert set(first) | set(second) <= set(law) and all(len(x) == 2 for x in got)
+    for s, p in law.items():
+        q = sum(o * p / (1 - o) for t, o in law.items() if t != s)
+        assert abs(first[s] / n - p) < 4 * (p / n) ** 0.5 + 2e-3 and abs(second[s] / n - q) < 4 * (q / n) ** 0.5 + 2e-3
+    assert abs(np.mean([sum(np.exp(lp) / inc for _, lp, _, inc in x) for x in got]) - 1) < 0.05
+    prose = pieces.sample_block(lattices, *kernel.buffers(pa.array([start + " and then some more words"])), [1], 4)[0]
+    assert len({tuple(p.tolist()) for p, _, _, _ in prose}) == 4 and all(0 < i <= 1 for _, _, _, i in prose)
+
+
 def test_digests_are_stable():
     data, offsets = kernel.buffers(pa.array(["Some text. More text!", "x"]))
     h, _, _ = kernel.word_hashes(data, offsets)
