@@ -1,9 +1,13 @@
 """Removal of repeated passages by sliding runs of consecutive sentences.
 
 Every run of three sentences is hashed, and so are shorter runs of enough
-words (``RUNS``), so that long sentences need no company.  The first
-occurrence of a run is the one of the least (doc_id, position); sentences that
-any other occurrence covers are removed.
+words (``RUNS``), so that long sentences need no company.  Where three
+sentences have too few words, as lines of lists and verse do, the run goes on
+until it has enough, forwards from each sentence and backwards from each: so
+every sentence of a repeated passage of three or more is covered, provided the
+passage has the words of a run.  The first occurrence of a run is the one of
+the least (doc_id, position); sentences that any other occurrence covers are
+removed.
 
 Within one Arrow batch all but the first occurrence of a run are surely not
 the first of all: they are settled at once and go to a partition of their
@@ -29,6 +33,8 @@ from lakeloom.llm.kernel import ODD, U, blocks, mix, sentences
 
 #: Sentences in a run, and the words that such a run must have.
 RUNS = ((3, 10), (2, 20), (1, 32))
+#: Bits of a packed span for its number of sentences: a run has at most the least words of the longest, and a word a sentence.
+_BITS = 4
 _SPAN = np.dtype([("hash", "u8"), ("doc", "i8"), ("pos", "u4"), ("k", "u1")])
 
 
@@ -45,6 +51,26 @@ def _runs(h: np.ndarray, words: np.ndarray, rows: np.ndarray) -> Iterator[tuple[
             size += words[j : n + j]
         keep = np.flatnonzero((row[:n] == row[k - 1 :]) & (size >= least))
         yield k, keep, mix(total[keep] + ODD[30 + k])
+    k, least = RUNS[0]
+    before = np.append(0, np.cumsum(words, dtype=np.int64))
+    # Sentences whose run of one less is too short, as the run's first ones or as its last.
+    first = np.arange(len(h) - k + 1) if len(h) >= k else np.zeros(0, np.int64)
+    first = first[before[first + k] - before[first] < least]
+    while len(first):
+        k += 1
+        ahead = first[first + k <= len(h)]
+        back = first[first > 0] - 1
+        for at, new in ((ahead, True), (back, False)):
+            at = at[row[at] == row[at + k - 1]]
+            at = at[before[at + k] - before[at] >= least]
+            if not new:  # those that also end a forward run are there already
+                at = at[before[at + k - 1] - before[at] >= least]
+            total = np.zeros(len(at), U)
+            for j in range(k):
+                total += h[at + j] * ODD[j]
+            yield k, at, mix(total + ODD[30 + k])
+        first = first[first + k <= len(h)]
+        first = first[before[first + k] - before[first] < least]
 
 
 def _spans(ranges: int):
@@ -109,7 +135,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.append(True, e["doc"][1:] != e["doc"][:-1])) if len(e) else np.zeros(0, int)
         for a in range(0, len(cut), 5000):
             at = np.append(cut, len(e))[a : a + 5001]
-            packed = [np.unique(e["pos"][x:y].astype(np.int64) * 4 + e["k"][x:y]).tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
+            packed = [np.unique(e["pos"][x:y].astype(np.int64) << _BITS | e["k"][x:y]).tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(e["doc"][at[:-1]]), pa.array(packed, pa.binary())], ["doc_id", "spans"])
 
 
@@ -125,7 +151,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 drop = np.zeros(b - a, bool)
                 for part in spans[i] or ():
                     for x in np.frombuffer(part, np.int64):
-                        drop[x >> 2 : (x >> 2) + (x & 3)] = True
+                        drop[x >> _BITS : (x >> _BITS) + (x & (1 << _BITS) - 1)] = True
                 n.append(int(b - a)), gone.append(int(drop.sum()))
                 if not text[i].is_valid:
                     out.append(None)

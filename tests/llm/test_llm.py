@@ -243,6 +243,34 @@ def test_spans_against_brute_force(spark):
     assert spans.drop_repeated_spans(docs(spark, [])).count() == 0
 
 
+def test_spans_of_short_lines(spark):
+    rng = random.Random(70)
+    menu = "\n".join(prose(rng, rng.randrange(1, 4), 4000) for _ in range(20)) + "\n"
+    mixed = prose(rng, 45, 4000) + ".\nYes.\nno way\nOh.\n"
+    short = "one.\ntwo three\nfour five.\n"
+    own = lambda: prose(rng, 30, 4000) + ".\n"
+    texts = [own() + (menu if i % 3 == 0 else mixed if i % 3 == 1 else short) + own() for i in range(30)] + [menu, mixed, "a\n" * 9, "a\n" * 9]
+    got = {r["doc_id"]: r for r in spans.drop_repeated_spans(docs(spark, texts)).collect()}
+    for i in range(3, 30):
+        kept = got[i]["text"]
+        assert got[i]["n_removed"] == (20, 4, 0)[i % 3] and (i % 3 == 2 or len(words_of(kept)) == 60)
+    assert [got[i]["n_removed"] for i in (0, 1, 2, 30, 31, 32, 33)] == [0, 0, 0, 20, 4, 0, 0]
+
+
+def test_short_runs_against_brute_force():
+    rng = np.random.default_rng(71)
+    words = rng.choice([1, 1, 1, 2, 3, 4, 9, 12], 3000)
+    rows = np.unique(np.concatenate([[0, 3000], rng.integers(0, 3000, 300)]))
+    got = [(k, i) for k, at, _ in spans._runs(np.arange(3000).astype(np.uint64), words, rows) for i in at.tolist() if k > 2]
+    want = set()
+    for a, b in zip(rows[:-1], rows[1:], strict=True):
+        for i in range(a, b - 2):
+            want |= {(k, i) for k in [next((k for k in range(3, b - i + 1) if words[i : i + k].sum() >= 10), 0)] if k}
+            e = b - (i - a)  # the end of a backward run
+            want |= {(k, e - k) for k in [next((k for k in range(3, e - a + 1) if words[e - k : e].sum() >= 10), 0)] if k}
+    assert len(got) == len(set(got)) and set(got) == want and 4 < max(k for k, _ in got) <= 10
+
+
 # 7 quality --------------------------------------------------------------
 
 
