@@ -5,8 +5,9 @@ adverts, forms, scripts, styles and reader comments are left out by tag, role
 and class words.  On each page the container with nearly all of the remaining
 text is found; its generalised path of tags and classes (digits as 0) is the
 page's vote, weighted by its text.  Votes are added up per host in Spark, map-side
-first, and every page is extracted again with its host's winning path; a page
-without such an element keeps its own container.
+first, and every page is extracted again with its host's winning path: all elements
+of that path, joined in page order.  A page where these hold less text than its own
+container keeps its own container.
 
 Null html gives an empty text, a null url is a host of its own, ties between
 paths go to the lesser path, repeated rows are extracted one by one, an empty
@@ -189,11 +190,11 @@ def extract(page: str | None, winner: str | None) -> tuple[str, str]:
         if x.path == winner:
             found.append(x)
         else:
-            todo.extend(c for c in x.children if isinstance(c, Node) and not c.drop and winner.startswith(c.path))
-    node = max(found, key=lambda x: x.size) if found else None
-    if node is None or not node.size:
-        node = best_container(root)
-    return text_of(node), node.path
+            todo.extend(c for c in reversed(x.children) if isinstance(c, Node) and not c.drop and winner.startswith(c.path))
+    own = best_container(root)
+    if not found or sum(x.size for x in found) < own.size:
+        found = [own]
+    return " ".join(t for x in found if (t := text_of(x))), found[0].path
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -111,6 +111,17 @@ def test_pages(spark):
     assert html.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_keep_all_elements_of_the_winning_path(spark):
+    story = "<div class='story'><h2>{0}</h2><p>" + "some words of the story. " * 5 + "</p></div>"
+    one, said = "<body>" + story + "</body>", " ".join(["some words of the story."] * 5)
+    two = "<body>" + story.format("First") + "<div class='advert'>BUY</div>" + story.format("Second") + "</body>"
+    wider = "<body><section><p>" + "other words, far more of them. " * 30 + "</p></section>" + story.format("Small") + "</body>"
+    rows = [(i, f"http://h.example/{i}", one.format(i)) for i in range(40)] + [(40, "http://h.example/40", two), (41, "http://h.example/41", wider)]
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == f"3 {said}" and got[40] == f"First {said} Second {said}"
+    assert got[41] == " ".join(["other words, far more of them."] * 30) + f" Small {said}"
+
+
 # 3 containment ----------------------------------------------------------
 
 
