@@ -2,8 +2,8 @@
 
 Every page is parsed leniently; menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are left out by tag, role
-and class words.  On each page the container with nearly all of the remaining
-text is found; its generalised path of tags and classes (digits as 0) is the
+and class words.  On each page the deepest container outside which only these and
+lists of links lie is found; its generalised path of tags and classes (digits as 0) is the
 page's vote, weighted by its text.  Votes are added up per host in Spark, map-side
 first, and every page is extracted again with its host's winning path: all elements
 of that path, joined in page order.  A page where these hold less text than its own
@@ -29,14 +29,16 @@ from lakeloom.plans.storage import materialize
 #: Hosts up to which the winning paths are broadcast; beyond, pages are joined to them by host.
 BROADCAST_HOSTS = 100_000
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math select object".split())
-_DROP_TAGS = frozenset("nav footer aside form button dialog menu figcaption head fieldset label input".split())
+_RAW = frozenset("script style textarea title template iframe svg select object".split())
+_DROP_TAGS = frozenset("nav footer aside form button dialog menu head fieldset label input".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _CLOSES_P = _BLOCKS - {"br", "body", "html"}
 _CONTAINERS = frozenset("article body center div html main section table tbody td tr".split())
 _WHOLE = frozenset(["article", "main"])
+#: Elements whose text counts although it is a link's.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd td th".split())
 _DROP_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup comment comments disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs sidebar pagination pager related recommended share sharing social toolbar widget".split()
 )
@@ -49,10 +51,10 @@ _SCHEME = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("children", "drop", "head", "link", "path", "size", "tag")
+    __slots__ = ("children", "drop", "head", "link", "path", "prose", "size", "tag")
 
-    def __init__(self, tag: str, path: str, drop: bool, link: bool) -> None:
-        self.tag, self.path, self.drop, self.link = tag, path, drop, link
+    def __init__(self, tag: str, path: str, drop: bool, link: bool, prose: bool = False) -> None:
+        self.tag, self.path, self.drop, self.link, self.prose = tag, path, drop, link, prose
         self.children: list[Node | str] = []
         self.size, self.head = 0, False
 
@@ -70,7 +72,7 @@ def _node(tag: str, raw: str, parent: Node, inside: bool) -> Node:
         drop = drop or bool(words & _DROP_WORDS)
         drop = drop or not inside and (tag == "header" or bool(words & _EDGE_WORDS) and not words & _MAIN_WORDS)
     kind = ".".join([tag, *sorted(re.sub(r"\d+", "0", x) for x in names)[:3]])
-    return Node(tag, f"{parent.path}>{kind}", parent.drop or drop, parent.link or tag == "a")
+    return Node(tag, f"{parent.path}>{kind}", parent.drop or drop, parent.link or tag == "a", parent.prose or tag in _PROSE)
 
 
 def parse(page: str) -> Node:
@@ -131,21 +133,21 @@ def _measure(root: Node) -> None:
         x.head = x.tag == "h1"
         for c in x.children:
             if isinstance(c, str):
-                x.size += 0 if x.link else len(c.strip())
+                x.size += 0 if x.link and not x.prose else len(c.strip())
             elif not c.drop:
                 x.size += c.size
                 x.head = x.head or c.head
 
 
 def best_container(root: Node) -> Node:
-    """The deepest container that still holds nearly all text and the heading."""
+    """The deepest container that still holds all text, but for lists of links, and the heading."""
     at = root
     while at.tag not in _WHOLE:
         inner = [c for c in at.children if isinstance(c, Node) and not c.drop and c.tag in _CONTAINERS]
         top = max(inner, key=lambda c: c.size, default=None)
         if top is None or not top.size or top.head < at.head:
             break
-        if top.size < (0.5 if top.tag in _WHOLE else 0.9) * at.size:
+        if top.size < at.size:
             break
         at = top
     return at

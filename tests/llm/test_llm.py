@@ -122,6 +122,20 @@ def test_pages_keep_all_elements_of_the_winning_path(spark):
     assert got[41] == " ".join(["other words, far more of them."] * 30) + f" Small {said}"
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<div><p>Lead.</p><div class='body'><p>{0}</p></div><p><a>More</a></p></div>", "Lead. {0} More"),
+        ("<article><p>{0}</p></article><article><p>Second.</p></article>", "{0} Second."),
+        ("<div class='body'><p>{0}</p></div><div class='advert'>BUY</div><ul><li><a>link</a></ul>", "{0}"),
+        ("<main><p>{0}</p><figure><figcaption>Seen here.</figcaption></figure><p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.<noscript>Still</noscript></main>", "{0} Seen here. If x=1.Still"),
+    ],
+)
+def test_pages_lose_nothing_outside_the_largest_element(page, want):
+    long = " ".join(["word"] * 60)
+    assert html.extract("<body>" + page.format(long) + "</body>", None)[0] == want.format(long)
+
+
 # 3 containment ----------------------------------------------------------
 
 
