@@ -3,6 +3,8 @@
 Three fixed patterns give the base spans.  The battery adds spans of further
 tokens of ``MIN_TOKEN`` characters or more:
 
+* names and values around ``=`` are tokens of their own, and so are the parts between
+  ``/`` of what fits no encoding as a whole;
 * the encoding is inferred from the alphabet of the token;
 * chi-squared uniformity over that alphabet, runs above and below its middle
   and the lag-one serial correlation are each standard normal for random text;
@@ -37,7 +39,13 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
 MIN_TOKEN = 20
-TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
+_WORD, _LONG = "A-Za-z0-9", f"{{{MIN_TOKEN},}}+"
+#: A run of token characters with its padding; one that mixes + or / with - or _, which no encoding does, falls into
+#: its parts between /, and such a part into those between +.  A = inside parts names and values.
+TOKEN = (
+    rf"(?<![{_WORD}_-])(?=[{_WORD}+/_-]{{{MIN_TOKEN}}})"
+    rf"(?:(?<![+/])[{_WORD}+/]{_LONG}(?![_-])|(?<!\+)[{_WORD}+]{_LONG}(?![_-])|[{_WORD}_-]{_LONG})=*"
+)
 BINS = 400
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: name, pattern of the token without padding, alphabet, share of ordinary characters inside the alphabet.

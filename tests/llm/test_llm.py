@@ -86,6 +86,22 @@ def test_secret_battery(spark):
     assert all((s["start"], s["end"]) == (2, 46) for i in range(60) for s in got[i])
 
 
+def test_secret_tokens_end_at_equals_signs_and_in_mixed_paths():
+    a, b, c = "Ab1" * 8, "x/y+Z9" * 5, "q-r_S7" * 5
+    text = f"KEY_NAME={a} sig={b}== ?auth={c}&x {a}={c} /my_dir/{a}/x-y/{c} d_e/{'n+m' * 8}/z {a}+{c} short=ab {b} {c}"
+    assert re.findall(secrets.TOKEN, text) == [a, b + "==", c, a + "=", c, a, c, "n+m" * 8, a, c, b, c]
+
+
+def test_secret_battery_reads_values_and_paths(spark):
+    rng = random.Random(20)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(alphabet) for _ in range(44)) for _ in range(60)]
+    texts = [("AWS_ACCESS_KEY={}", "https://h.example/f?sig={}", "/home/my_files/{}/x")[i % 3].format(k) for i, k in enumerate(keys)] + ["some_internationalization_of=the-quick-brown-fox-jumps-over-the-lazy-dog"] * 90
+    got = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "random"] for r in secrets.scan_secrets(docs(spark, texts)).collect()}
+    assert sum(len(got[i]) for i in range(60)) >= 54 and all(not got[i] for i in range(60, len(texts)))
+    assert all(texts[i][s["start"] : s["end"]] == keys[i] for i in range(60) for s in got[i])
+
+
 def test_secret_thresholds_hold_the_false_discovery_rate():
     assert secrets.thresholds([("hex", 10, 0, 90), ("hex", 10, 20, 10)], 0.01) == {("hex", 10): 20}
     assert secrets.thresholds([("hex", 10, 0, 90), ("hex", 10, 4, 10)], 0.01) == {}
