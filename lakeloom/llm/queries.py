@@ -98,9 +98,9 @@ def op9_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two different sampled segmentations of every whole text, with inclusion scores."""
+    """Two different sampled segmentations of every whole text, with inclusion scores, and whether each decodes to the text."""
     got = sample_segmentations(table(spark, sf_dir, "documents"), k=2, block=5 << 20)
-    return got.select("doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "perturbed", "inclusion")
+    return got.select("doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "perturbed", "inclusion", "round_trip")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

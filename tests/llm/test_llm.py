@@ -461,6 +461,13 @@ def test_pieces_round_trip_and_distinct(spark, vocabulary):
     assert pieces.sample_segmentations(docs(spark, []), k=2).count() == 0
 
 
+def test_pieces_tell_whether_they_decode_to_the_text(spark, vocabulary):
+    texts = [*TEXTS, "7" * 300, "a ▁b"]
+    got = pieces.sample_segmentations(docs(spark, texts), k=2).select("doc_id", "round_trip").collect()
+    assert {r["doc_id"] for r in got} == set(range(len(texts)))
+    assert all(r["round_trip"] == ("▁" not in (texts[r["doc_id"]] or "")) for r in got)
+
+
 def test_pieces_follow_the_lattice_law(vocabulary):
     lattices = pieces.Lattices(vocabulary, 0.3)
     ids = {p.decode(): i for i, p in vocabulary["pieces"].items()}
