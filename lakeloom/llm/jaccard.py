@@ -2,21 +2,21 @@
 
 A document's set holds its different five-word shingles as 64-bit hashes.
 Equal sets are one class, represented by its least document.  Sets are
-ordered globally: shingles of crowded counters of a fixed-size count sketch
-over all documents come last, then by hash.  Two sets of Jaccard ``threshold``
-or more share a token among their first ``n - ceil(threshold n) + 1``, so only
-these are shuffled, packed by token range.
-
-Buckets of up to ``bucket`` classes give all pairs of fitting sizes.  A larger
-bucket gives the star of a leader first.  Where its members are still of
+ordered globally, rare shingles first: by the level of load of a counter in a
+hashed sketch over all documents (its size follows the input up to a fixed
+one), then by hash.  Two sets of Jaccard ``threshold`` or more share a token
+among their first ``n - ceil(threshold n) + 1``, so only these are shuffled,
+packed by token range; a task streams its ranges.
+
+Buckets of up to ``bucket`` classes are paired, and only pairs of fitting sizes
+leave the task for which the token can be the first they share: what stands
+before it on either side is lost, and the rest must still hold the overlap.
+A larger bucket gives the star of a leader first.  Where its members are still of
 different components, they are compared with the member of most large buckets,
 and what then is left, tile by tile: members outside the largest component
-against all others.  So no group is paired with itself in full, no pairs leave a
-tile, and no link between different components is missed: pairs inside a
-component change nothing.
-
-A pair is a candidate if its shared prefix tokens and the rest of the set whose
-prefix ends first can reach the needed overlap: a bound, so nothing similar is lost.
+against all others, so a bucket of few strangers costs its size times theirs.
+No pairs leave a tile, and no link between different components is missed:
+pairs inside a component change nothing.
 
 Candidates are verified exactly.  The candidates of one probe are stored in a
 prefix tree of their ordered sets; a descent carries the overlap of the shared
@@ -25,8 +25,9 @@ cannot reach the needed overlap.
 
 Nulls and empty texts have no shingles and link with nothing; rows without an
 id get no component; rows that repeat an id are one document whose links are
-the union of theirs; an empty table gives an empty result; other columns are
-ignored.
+the union of theirs; ties in the order go by hash; texts of any length are used
+whole; an empty table gives an empty result; other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
@@ -42,11 +43,16 @@ from lakeloom.llm.kernel import U, distinct_sorted, mix, shingle_rows
 from lakeloom.operators.components import connected_components
 from lakeloom.plans.storage import discard, materialize
 
-#: Counters of the sketch, and counters in one shuffled chunk.
-SKETCH_BITS, CHUNK_BITS = 23, 16
+#: Bits of the sketch's size, least and most, and of one shuffled chunk; levels of load that order the shingles.
+SKETCH_BITS, CHUNK_BITS, LEVELS = (18, 25), 16, 16
+#: Bytes of text for each partition of prefixes, whose entries take about as many.
+PREFIX_BYTES = 32 << 20
 #: Ids of 8 bytes up to which the candidates are broadcast to the scan; beyond, the texts are shuffled to them.
 BROADCAST_IDS = 1_000_000
-_ENTRY = np.dtype([("token", "u8"), ("doc", "i8"), ("print", "i8"), ("n", "u4")])
+#: A class of more than this share of the documents is broadcast to its copies: at most as many classes as the reciprocal.
+HOT_SHARE = 1e-3
+_HEAD = np.dtype([("doc", "i8"), ("print", "i8"), ("n", "u4"), ("count", "u4")])
+_ENTRY = np.dtype([("token", "u8"), ("pos", "u4")])
 
 
 def _prints(u: np.ndarray) -> tuple[int, int]:
@@ -64,23 +70,25 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int | Non
                 yield ids[first + i], u
 
 
-def _describe(k: int):
+def _describe(k: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, then the task's part of the sketch; equal sets of a task count once there."""
-        counts, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
+        counts, seen = np.zeros(1 << bits, np.uint32), set()
         for batch in batches:
-            ids, n, f1, f2 = [], [], [], []
+            ids, n, f1, f2, fresh = [], [], [], [], []
             for doc, u in _sets(iter([batch]), k):
                 a, b = _prints(u)
                 ids.append(doc), n.append(len(u)), f1.append(a), f2.append(b)
                 if (a, b) not in seen and len(u):
                     seen.add((a, b))
-                    np.add.at(counts, (u >> U(64 - SKETCH_BITS)).astype(np.intp), 1)
+                    fresh.append((u >> U(64 - bits)).astype(np.intp))
+            if fresh:
+                np.add.at(counts, np.concatenate(fresh), 1)
             yield _batch(ids, n, f1, f2, [None] * len(ids))
         zstd = pa.Codec("zstd")
-        parts = [(i, c) for i, c in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)) if c.any()]
-        for i, c in parts:
-            yield _batch([None], [i], [None], [None], [zstd.compress(np.minimum(c, 65535).astype(np.uint16).tobytes(), asbytes=True)])
+        for i, c in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)):
+            if c.any():
+                yield _batch([None], [i], [None], [None], [zstd.compress(np.minimum(c, 65535).astype(np.uint16).tobytes(), asbytes=True)])
 
     return run
 
@@ -90,107 +98,129 @@ def _batch(ids, n, f1, f2, sketch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "f1", "f2", "sketch"])
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """(chunk, loads of its counters) of the chunks of a partition."""
     zstd, sums = pa.Codec("zstd"), {}
-    size = 2 << CHUNK_BITS
     for batch in batches:
         for i, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             sums.setdefault(i, np.zeros(1 << CHUNK_BITS, np.uint64))
-            sums[i] += np.frombuffer(zstd.decompress(part, size), np.uint16)
-    for i, s in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], ["chunk", "sums"])
+            sums[i] += np.frombuffer(zstd.decompress(part, 2 << CHUNK_BITS), np.uint16)
+    yield from sums.items()
+
+
+def _levels(described: DataFrame, bits: int, parts: int) -> np.ndarray:
+    """The level of load of each counter, from 0 for the least, two in a byte: at most ``1 << SKETCH_BITS[1] - 1`` bytes.
+
+    Counters are hashed, so the loads of one chunk are a fair sample of all: their quantiles part the levels.
+    """
+    rows = described.where("sketch is not null").select("n", "sketch").repartition(max(1, min(parts, 1 << (bits - CHUNK_BITS))), "n")
+
+    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, load in _add_up(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.quantile(load, np.arange(1, LEVELS) / LEVELS))], ["cut"])
+
+    found = np.array([r["cut"] for r in rows.where("n = 0").mapInArrow(cuts, "cut double").collect()])
 
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, load in _add_up(batches):
+            level = np.searchsorted(found, load).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([(level[::2] | level[1::2] << 4).tobytes()], pa.binary())], ["chunk", "level"])
 
-def _crowded(described: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit for each counter of the sketch: whether its load is over what even spreading explains; and that load.  Its size is fixed."""
-    rows = described.where("sketch is not null").select("n", "sketch").repartition(16, "n").mapInArrow(_add_up, "chunk long, sums binary").collect()
-    load = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), np.uint32)
-    for r in rows:
-        load[r["chunk"]] = np.frombuffer(r["sums"], np.uint32)
-    load = load.reshape(-1)
-    limit = int(8 + load.mean() + 4 * np.sqrt(load.mean()))
-    return np.packbits(load > limit), limit
+    out = np.zeros((1 << (bits - CHUNK_BITS), 1 << (CHUNK_BITS - 1)), np.uint8)
+    for r in rows.mapInArrow(levels, "chunk long, level binary").collect():
+        out[r["chunk"]] = np.frombuffer(r["level"], np.uint8)
+    return out.reshape(-1)
 
 
-def _prefixes(k: int, num: int, den: int, ranges: int, crowded):
+def _prefixes(k: int, num: int, den: int, ranges: int, bits: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Packed prefix entries by token range; equal sets of a task are entered once."""
-        late = np.unpackbits(crowded.value).astype(bool)
-        seen, held, size = set(), [], 0
+        level = levels.value
+        seen, held, heads, size = set(), [], [], 0
         for doc, u in _sets(batches, k):
             prints = _prints(u)
             if doc is None or not len(u) or prints in seen:
                 continue
             seen.add(prints)
             n = len(u)
-            rear = late[(u >> U(64 - SKETCH_BITS)).astype(np.intp)]
             p = n + (-num * n) // den + 1  # n - ceil(threshold n) + 1
-            front = u[~rear][:p]
-            if len(front) < p:
-                front = np.concatenate([front, u[rear][: p - len(front)]])
-            e = np.empty(len(front), _ENTRY)
-            e["token"], e["doc"], e["print"], e["n"] = front, doc, prints[0], n
-            held.append(e)
-            size += len(e)
+            at = (u >> U(64 - bits)).astype(np.intp)
+            e = np.empty(p, _ENTRY)
+            e["token"] = u[np.argsort(level[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15, kind="stable")[:p]]
+            e["pos"] = np.arange(p)
+            held.append(e), heads.append((doc, prints[0], n, p))
+            size += p
             if size > 1 << 20:
-                yield _pack(held, ranges)
-                held, size = [], 0
+                yield _pack(held, heads, ranges)
+                held, heads, size = [], [], 0
         if held:
-            yield _pack(held, ranges)
+            yield _pack(held, heads, ranges)
 
     return run
 
 
-def _pack(held: list[np.ndarray], ranges: int) -> pa.RecordBatch:
-    e = np.concatenate(held)
+def _pack(held: list[np.ndarray], heads: list[tuple], ranges: int) -> pa.RecordBatch:
+    """A row for each token range: the documents with entries there, and the entries in the documents' order."""
+    e, heads = np.concatenate(held), np.array(heads, _HEAD)
     at = ((e["token"] >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+    row = np.repeat(np.arange(len(heads)), heads["count"])
     order = np.argsort(at, kind="stable")
-    cut = np.searchsorted(at[order], np.arange(ranges + 1))
-    used = np.flatnonzero(np.diff(cut))
-    e = e[order]
-    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([e[cut[i] : cut[i + 1]].tobytes() for i in used], pa.binary())], ["range", "entries"])
+    at, row, e = at[order], row[order], e[order]
+    cut = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    first, entries = [], []
+    for a, b in zip(cut, np.append(cut[1:], len(e)), strict=True):
+        own, count = np.unique(row[a:b], return_counts=True)
+        h = heads[own]
+        h["count"] = count
+        first.append(h.tobytes()), entries.append(e[a:b].tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(at[cut].astype(np.int32)), pa.array(first, pa.binary()), pa.array(entries, pa.binary())], ["range", "heads", "entries"])
 
 
 def _fits(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     return den * np.minimum(n, m).astype(np.int64) >= num * np.maximum(n, m).astype(np.int64)
 
 
-_PAIRS = "token long, a long, b long, n long, m long, shared long"
+_PAIRS = "token long, a long, b long, n long"
 
 
-def _pair_batch(token, a, b, n, m, shared) -> pa.RecordBatch:
-    columns = [np.asarray(x) if x is not None else None for x in (token, a, b, n, m, shared)]
-    size = len(columns[1])
-    return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if x is None else pa.array(x.astype(np.int64)) for x in columns], ["token", "a", "b", "n", "m", "shared"])
+def _pair_batch(token, a, b, n) -> pa.RecordBatch:
+    columns = [pa.nulls(len(a), pa.int64()) if x is None else pa.array(np.asarray(x).astype(np.int64)) for x in (token, a, b, n)]
+    return pa.RecordBatch.from_arrays(columns, ["token", "a", "b", "n"])
 
 
-def _ordered(x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Pairs of fitting sizes as rows (a, b, n, m), a the lesser id; n and m are the sizes of their sets."""
-    ok = _fits(x["n"], y["n"], num, den) & (x["doc"] != y["doc"])
-    x, y = x[ok], y[ok]
-    turn = x["doc"] > y["doc"]
-    a, b = np.where(turn, y, x), np.where(turn, x, y)
-    return np.stack([a["doc"], b["doc"], a["n"].astype(np.int64), b["n"].astype(np.int64)], 1)
+def _ordered(e: np.ndarray, x: np.ndarray, y: np.ndarray, num: int, den: int, first: bool) -> np.ndarray:
+    """Pairs of the entries ``x`` and ``y`` of fitting sizes as rows (a, b), a the lesser id.
 
-
-def _counted(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different rows, and the sum of their times."""
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[order]
-    first = np.flatnonzero(np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)))
-    return pairs[first], np.add.reduceat(times[order], first)
+    ``first``: only those that can still reach the needed overlap if this is the first token they share:
+    what stands before it in either order is lost.
+    """
+    n, m = e["n"][x].astype(np.int64), e["n"][y].astype(np.int64)
+    ok = _fits(n, m, num, den) & (e["doc"][x] != e["doc"][y])
+    if first:
+        need = -(-num * (n + m) // (num + den))
+        ok &= (e["pos"][x] <= n - need) & (e["pos"][y] <= m - need)
+    a, b = e["doc"][x[ok]], e["doc"][y[ok]]
+    return np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
+
+
+def _entries(table: pa.Table) -> np.ndarray:
+    """The entries of one token range with their documents' data."""
+    heads = np.frombuffer(b"".join(table["heads"].to_pylist()), _HEAD)
+    e = np.frombuffer(b"".join(table["entries"].to_pylist()), _ENTRY)
+    out = np.empty(len(e), np.dtype([("token", "u8"), ("pos", "u4"), ("doc", "i8"), ("print", "i8"), ("n", "u4")]))
+    out["token"], out["pos"] = e["token"], e["pos"]
+    row = np.repeat(np.arange(len(heads)), heads["count"])
+    for c in ("doc", "print", "n"):
+        out[c] = heads[c][row]
+    return out
 
 
 def _candidates(num: int, den: int, bucket: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows with a token are members of large buckets.  The others are pairs (a, b) with the sizes of their sets:
-        of small buckets, with the number of prefix tokens they share, and of large buckets' stars, with null."""
-        by_range: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for r, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_range.setdefault(r, []).append(np.frombuffer(x, _ENTRY))
-        for r in sorted(by_range):
-            e = np.concatenate(by_range.pop(r))
+        """Rows with a token are members of large buckets, with the sizes of their sets.  The others are pairs (a, b):
+        of small buckets, those whose first shared token this can be, and of large buckets the star of one member."""
+        for _, table in _groups(batches, ["range"]):
+            e = _entries(table)
             e = e[np.argsort(e["token"], kind="stable")]
             shared = np.zeros(len(e), bool)
             same = e["token"][1:] == e["token"][:-1]
@@ -205,33 +235,23 @@ def _candidates(num: int, den: int, bucket: int):
             e = e[fresh]
             first = np.flatnonzero(np.append(True, e["token"][1:] != e["token"][:-1]))
             size = np.diff(np.append(first, len(e)))
-            found, stars = [], []
+            found = []
             for m in np.unique(size[(size > 1) & (size <= bucket)]):
                 left, right = np.triu_indices(m, 1)
                 at = first[size == m]
                 for block in np.array_split(at, max(1, len(at) * len(left) // 500_000)):
-                    found.append(_ordered(e[(block[:, None] + left).ravel()], e[(block[:, None] + right).ravel()], num, den))
+                    found.append(np.unique(_ordered(e, (block[:, None] + left).ravel(), (block[:, None] + right).ravel(), num, den, True), axis=0))
             for at, m in zip(first[size > bucket], size[size > bucket], strict=True):
-                g = e[at : at + m]
-                g = g[np.argsort(mix(g["doc"].astype(U)), kind="stable")]
-                stars.append(_ordered(np.repeat(g[:1], m), g, num, den))
-                yield _pair_batch(np.repeat(g["token"][:1].view(np.int64), m), g["doc"], None, g["n"], None, None)
-            for pairs, sure in ((found, False), (stars, True)):
-                pairs = np.concatenate(pairs) if pairs else np.zeros((0, 4), np.int64)
-                if len(pairs):
-                    pairs, times = _counted(pairs, np.ones(len(pairs), np.int64))
-                    yield _pair_batch(None, *pairs.T, None if sure else times)
+                members = np.arange(at, at + m)
+                lead = members[np.argmin(mix(e["doc"][members].astype(U)))]
+                found.append(_ordered(e, np.repeat(lead, m), members, num, den, False))
+                yield _pair_batch(np.repeat(e["token"][at : at + 1].view(np.int64), m), e["doc"][members], None, e["n"][members])
+            if found and len(pairs := np.unique(np.concatenate(found), axis=0)):
+                yield _pair_batch(None, *pairs.T, None)
 
     return run
 
 
-def _enough(num: int, den: int):
-    """Whether two sets can still reach the needed overlap: all common tokens up to the end of the prefix that
-    ends first are among the ``shared``, and what follows there is at most the rest of that set."""
-    rest = lambda n: F.col(n) - (F.col(n) * (den - num) / den).cast("long") - 1
-    return F.col("shared").isNull() | ((F.col("shared") + F.greatest(rest("n"), rest("m"))) * (num + den) >= num * (F.col("n") + F.col("m")))
-
-
 def _cells(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links between different components among the members of a tile pair; rows come sorted by anchor and tile pair.
@@ -362,25 +382,30 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
     return found
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int | None = None, group: int = 256) -> DataFrame:
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int = 32, group: int = 256) -> DataFrame:
     """doc_id, n_shingles and component_id: the least id that links of Jaccard ``num / den`` or more reach.
 
-    ``bucket``: classes up to which a prefix bucket is paired in full, by default what the sketch tells apart from even load; ``group``: sets in one prefix tree.
+    ``bucket``: classes up to which a prefix bucket is paired in full; ``group``: sets in one prefix tree.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    described = materialize(docs.mapInArrow(_describe(k), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
-    bits, limit = _crowded(described)
-    crowded = spark.sparkContext.broadcast(bits)
-    # So large buckets are, as a rule, those of crowded tokens.
-    bucket = bucket or max(16, min(64, limit))
-    packed = docs.mapInArrow(_prefixes(k, num, den, 4 * parts, crowded), "range int, entries binary").repartition(parts, "range")
+    chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PREFIX_BYTES))
+    # A word has about six bytes, so a counter holds some eight shingles until the sketch has its full size.
+    bits = min(max((chars // 48).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    described = materialize(docs.mapInArrow(_describe(k, bits), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
+    levels = spark.sparkContext.broadcast(_levels(described, bits, parts))
+    packed = docs.mapInArrow(_prefixes(k, num, den, 4 * parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
     raw = materialize(packed.mapInArrow(_candidates(num, den, bucket), _PAIRS), "jaccard-candidates")
-
-    rows = described.where("sketch is null").select("doc_id", "n", "f1", "f2")
-    classes = rows.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    known = materialize(rows.join(classes, ["n", "f1", "f2"], "left").select("doc_id", "n", "rep"), "jaccard-classes")
+    levels.unpersist()
+
+    rows, same = described.where("sketch is null").select("doc_id", "n", "f1", "f2"), ["n", "f1", "f2"]
+    some = rows.where("n > 0")
+    classes = materialize(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "jaccard-reps")
+    often = F.col("c") > max(1, int(HOT_SHARE * rows.count()))
+    hot, cold = F.broadcast(classes.where(often).drop("c")), classes.where(~often).drop("c")
+    known = some.join(hot, same).unionByName(some.join(hot.drop("rep"), same, "left_anti").join(cold, same))
+    known = materialize(known.select("doc_id", "n", "rep").unionByName(rows.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("rep"))), "jaccard-classes")
     to_rep = known.where("doc_id is not null and rep <> doc_id").select(F.col("doc_id").alias("copy"), "rep").distinct()
 
     def represented(df: DataFrame, column: str) -> DataFrame:
@@ -391,16 +416,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         repeated = own.join(own.groupBy("dst").agg(F.countDistinct("src").alias("c")).where("c > 1"), "dst", "left_semi").select("src", "dst")
         return materialize(connected_components(links.unionByName(repeated)), "jaccard-labels")
 
-    def whole(pairs: DataFrame) -> DataFrame:
-        """Pairs whose shared tokens, added up over all buckets, are enough."""
-        total = pairs.groupBy("a", "b").agg(F.max("n").alias("n"), F.max("m").alias("m"), F.sum("shared").alias("shared"), F.count_if(F.col("shared").isNull()).alias("stars"))
-        return total.where((F.col("stars") > 0) | _enough(num, den)).select("a", "b")
-
     def of_reps(pairs: DataFrame) -> DataFrame:
         return represented(represented(pairs.select("a", "b"), "a"), "b")
 
     small = raw.where("token is null")
-    links = _links(of_reps(whole(small)), docs, k, num, den, group)
+    links = _links(of_reps(small), docs, k, num, den, group)
     labels = labelled(links)
 
     members = represented(raw.where("token is not null").select("token", F.col("a").alias("member"), "n"), "member").withColumnRenamed("member", "rep").distinct()
@@ -432,9 +452,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         labels = joined(labels, _links(stars, docs, k, num, den, group))
         rest = materialize(mixed(labels).select("anchor", "rep", "n", "label").distinct(), "jaccard-mixed")
     if not rest.isEmpty():
-        tiles = rest.groupBy("anchor").agg(F.ceil(F.count("*") / group).alias("tiles"))
+        # Tiles of the members outside the largest component come first; a cell is one of these and any other tile.
+        by_label = rest.groupBy("anchor", "label").agg(F.count("*").alias("c"))
+        tiles = by_label.groupBy("anchor").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("most"), F.ceil((F.sum("c") - F.max("c")) / group).alias("few"), F.ceil(F.max("c") / group).alias("many"))
         sets = _sets_of(docs, rest.select(F.col("rep").alias("doc_id")).distinct(), k).withColumnRenamed("doc_id", "rep")
-        cells = rest.join(tiles, "anchor").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles"))).withColumn("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        minor = F.col("label") != F.col("most")
+        tile = F.when(minor, F.pmod(F.xxhash64("rep"), F.col("few"))).otherwise(F.col("few") + F.pmod(F.xxhash64("rep"), F.col("many")))
+        others = F.sequence(F.lit(0).cast("long"), F.when(minor, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)
+        cells = rest.join(tiles, "anchor").withColumn("tile", tile).withColumn("u", F.explode(others))
         cells = cells.select("anchor", F.least("tile", "u").alias("i"), F.greatest("tile", "u").alias("j"), "rep", "n", "label", "tile").join(sets, "rep")
         links = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(_cells(num, den), "src long, dst long")
         labels = joined(labels, materialize(links, "jaccard-links"))
