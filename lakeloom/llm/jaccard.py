@@ -44,7 +44,8 @@ from lakeloom.operators.components import connected_components
 from lakeloom.plans.storage import discard, materialize
 
 #: Bits of the sketch's size, least and most, and of one shuffled chunk; levels of load that order the shingles.
-SKETCH_BITS, CHUNK_BITS, LEVELS = (18, 25), 16, 16
+SKETCH_BITS, CHUNK_BITS, LEVELS = (18, 24), 16, 16
+BUCKET = 32
 #: Bytes of text for each partition of prefixes, whose entries take about as many.
 PREFIX_BYTES = 32 << 20
 #: Ids of 8 bytes up to which the candidates are broadcast to the scan; beyond, the texts are shuffled to them.
@@ -52,7 +53,8 @@ BROADCAST_IDS = 1_000_000
 #: A class of more than this share of the documents is broadcast to its copies: at most as many classes as the reciprocal.
 HOT_SHARE = 1e-3
 _HEAD = np.dtype([("doc", "i8"), ("print", "i8"), ("n", "u4"), ("count", "u4")])
-_ENTRY = np.dtype([("token", "u8"), ("pos", "u4")])
+#: The first 48 bits of the token's hash, and its place in the document's order, at most 65535: both only widen the candidates.
+_ENTRY = np.dtype([("high", "u4"), ("low", "u2"), ("pos", "u2")])
 
 
 def _prints(u: np.ndarray) -> tuple[int, int]:
@@ -88,7 +90,7 @@ def _describe(k: int, bits: int):
         zstd = pa.Codec("zstd")
         for i, c in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)):
             if c.any():
-                yield _batch([None], [i], [None], [None], [zstd.compress(np.minimum(c, 65535).astype(np.uint16).tobytes(), asbytes=True)])
+                yield _batch([None], [i], [None], [None], [zstd.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), asbytes=True)])
 
     return run
 
@@ -104,7 +106,7 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
     for batch in batches:
         for i, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             sums.setdefault(i, np.zeros(1 << CHUNK_BITS, np.uint64))
-            sums[i] += np.frombuffer(zstd.decompress(part, 2 << CHUNK_BITS), np.uint16)
+            sums[i] += np.frombuffer(zstd.decompress(part, 1 << CHUNK_BITS), np.uint8)
     yield from sums.items()
 
 
@@ -146,8 +148,8 @@ def _prefixes(k: int, num: int, den: int, ranges: int, bits: int, levels):
             p = n + (-num * n) // den + 1  # n - ceil(threshold n) + 1
             at = (u >> U(64 - bits)).astype(np.intp)
             e = np.empty(p, _ENTRY)
-            e["token"] = u[np.argsort(level[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15, kind="stable")[:p]]
-            e["pos"] = np.arange(p)
+            token = u[np.argsort(level[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15, kind="stable")[:p]]
+            e["high"], e["low"], e["pos"] = token >> U(32), token >> U(16) & U(65535), np.minimum(np.arange(p), 65535)
             held.append(e), heads.append((doc, prints[0], n, p))
             size += p
             if size > 1 << 20:
@@ -162,7 +164,7 @@ def _prefixes(k: int, num: int, den: int, ranges: int, bits: int, levels):
 def _pack(held: list[np.ndarray], heads: list[tuple], ranges: int) -> pa.RecordBatch:
     """A row for each token range: the documents with entries there, and the entries in the documents' order."""
     e, heads = np.concatenate(held), np.array(heads, _HEAD)
-    at = ((e["token"] >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+    at = (e["high"].astype(U) * U(ranges) >> U(32)).astype(np.int64)
     row = np.repeat(np.arange(len(heads)), heads["count"])
     order = np.argsort(at, kind="stable")
     at, row, e = at[order], row[order], e[order]
@@ -208,7 +210,7 @@ def _entries(table: pa.Table) -> np.ndarray:
     heads = np.frombuffer(b"".join(table["heads"].to_pylist()), _HEAD)
     e = np.frombuffer(b"".join(table["entries"].to_pylist()), _ENTRY)
     out = np.empty(len(e), np.dtype([("token", "u8"), ("pos", "u4"), ("doc", "i8"), ("print", "i8"), ("n", "u4")]))
-    out["token"], out["pos"] = e["token"], e["pos"]
+    out["token"], out["pos"] = e["high"].astype(U) << U(16) | e["low"], e["pos"]
     row = np.repeat(np.arange(len(heads)), heads["count"])
     for c in ("doc", "print", "n"):
         out[c] = heads[c][row]
@@ -382,21 +384,21 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
     return found
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int = 32, group: int = 256) -> DataFrame:
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int | None = None, group: int = 256) -> DataFrame:
     """doc_id, n_shingles and component_id: the least id that links of Jaccard ``num / den`` or more reach.
 
-    ``bucket``: classes up to which a prefix bucket is paired in full; ``group``: sets in one prefix tree.
+    ``bucket``: classes up to which a prefix bucket is paired, ``BUCKET`` by default; ``group``: sets in one prefix tree.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PREFIX_BYTES))
-    # A word has about six bytes, so a counter holds some eight shingles until the sketch has its full size.
-    bits = min(max((chars // 48).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    # A word has about six bytes, so a counter holds some 10 to 20 shingles until the sketch has its full size.
+    bits = min(max((chars // 128).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     described = materialize(docs.mapInArrow(_describe(k, bits), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
     levels = spark.sparkContext.broadcast(_levels(described, bits, parts))
     packed = docs.mapInArrow(_prefixes(k, num, den, 4 * parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
-    raw = materialize(packed.mapInArrow(_candidates(num, den, bucket), _PAIRS), "jaccard-candidates")
+    raw = materialize(packed.mapInArrow(_candidates(num, den, bucket or BUCKET), _PAIRS), "jaccard-candidates")
     levels.unpersist()
 
     rows, same = described.where("sketch is null").select("doc_id", "n", "f1", "f2"), ["n", "f1", "f2"]
