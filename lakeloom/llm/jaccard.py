@@ -45,9 +45,9 @@ from lakeloom.plans.storage import discard, materialize
 
 #: Bits of the sketch's size, least and most, and of one shuffled chunk; levels of load that order the shingles.
 SKETCH_BITS, CHUNK_BITS, LEVELS = (18, 24), 16, 16
-BUCKET = 32
+BUCKET = 16
 #: Bytes of text for each partition of prefixes, whose entries take about as many.
-PREFIX_BYTES = 32 << 20
+PREFIX_BYTES = 64 << 20
 #: Ids of 8 bytes up to which the candidates are broadcast to the scan; beyond, the texts are shuffled to them.
 BROADCAST_IDS = 1_000_000
 #: A class of more than this share of the documents is broadcast to its copies: at most as many classes as the reciprocal.
@@ -397,7 +397,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits = min(max((chars // 128).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     described = materialize(docs.mapInArrow(_describe(k, bits), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
     levels = spark.sparkContext.broadcast(_levels(described, bits, parts))
-    packed = docs.mapInArrow(_prefixes(k, num, den, 4 * parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
+    packed = docs.mapInArrow(_prefixes(k, num, den, parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
     raw = materialize(packed.mapInArrow(_candidates(num, den, bucket or BUCKET), _PAIRS), "jaccard-candidates")
     levels.unpersist()
 
