@@ -174,10 +174,19 @@ def _pack(held: list[np.ndarray], heads: list[tuple], ranges: int) -> pa.RecordB
         own, count = np.unique(row[a:b], return_counts=True)
         h = heads[own]
         h["count"] = count
-        first.append(h.tobytes()), entries.append(e[a:b].tobytes())
+        first.append(_by_byte(h)), entries.append(_by_byte(e[a:b]))
     return pa.RecordBatch.from_arrays([pa.array(at[cut].astype(np.int32)), pa.array(first, pa.binary()), pa.array(entries, pa.binary())], ["range", "heads", "entries"])
 
 
+def _by_byte(x: np.ndarray) -> bytes:
+    """All first bytes of the records, then all second ones and so on: the shuffle's compression finds the zeros."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _of_bytes(parts: list[bytes], kind: np.dtype) -> np.ndarray:
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind) for x in parts])
+
+
 def _fits(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     return den * np.minimum(n, m).astype(np.int64) >= num * np.maximum(n, m).astype(np.int64)
 
@@ -207,8 +216,8 @@ def _ordered(e: np.ndarray, x: np.ndarray, y: np.ndarray, num: int, den: int, fi
 
 def _entries(table: pa.Table) -> np.ndarray:
     """The entries of one token range with their documents' data."""
-    heads = np.frombuffer(b"".join(table["heads"].to_pylist()), _HEAD)
-    e = np.frombuffer(b"".join(table["entries"].to_pylist()), _ENTRY)
+    heads = _of_bytes(table["heads"].to_pylist(), _HEAD)
+    e = _of_bytes(table["entries"].to_pylist(), _ENTRY)
     out = np.empty(len(e), np.dtype([("token", "u8"), ("pos", "u4"), ("doc", "i8"), ("print", "i8"), ("n", "u4")]))
     out["token"], out["pos"] = e["high"].astype(U) << U(16) | e["low"], e["pos"]
     row = np.repeat(np.arange(len(heads)), heads["count"])
@@ -370,17 +379,41 @@ def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     return materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_pack_sets(k), "doc_id long, tokens binary"), "jaccard-tokens")
 
 
+def _send_sets(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row with the set for each group that a document takes part in, as its probe (b is null) or as a member."""
+        for batch in batches:
+            roles, a, salt, b, tokens = batch.column(2).to_pylist(), [], [], [], []
+            for (_, u), own in zip(_sets(iter([batch]), k), roles, strict=True):
+                packed = u.tobytes()
+                for r in own:
+                    a.append(r["a"]), salt.append(r["salt"]), b.append(r["b"]), tokens.append(packed)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, salt, b)] + [pa.array(tokens, pa.binary())], ["a", "salt", "b", "tokens"])
+
+    return run
+
+
 def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, verified by prefix trees of at most about ``group`` sets."""
+    """The pairs (a, b) whose sets are similar, verified by prefix trees of at most about ``group`` sets.
+
+    The side with more pairs probes, so a set travels once for each pair and once for each group it probes.
+    """
     pairs = materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
-    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), k)
-    size = pairs.groupBy("a").agg(F.count("*").alias("m"))
-    salted = materialize(pairs.join(size, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / group)).cast("long")).drop("m"), "jaccard-salted")
-    members = salted.join(sets.withColumnRenamed("doc_id", "b"), "b").select("a", "salt", "b", "tokens")
-    probes = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("doc_id", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "tokens")
-    together = members.unionByName(probes).repartition("a", "salt").sortWithinPartitions("a", "salt")
-    found = materialize(together.mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
-    discard(pairs, sets, salted)
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("m"))
+    at = lambda c: degree.select(F.col("node").alias(c), F.col("m").alias(f"m_{c}"))
+    turn = F.col("m_b") > F.col("m_a")
+    probe, member = F.when(turn, F.col("b")).otherwise(F.col("a")), F.when(turn, F.col("a")).otherwise(F.col("b"))
+    salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / group)).cast("long")
+    salted = materialize(pairs.join(at("a"), "a").join(at("b"), "b").select(probe.alias("a"), member.alias("b"), F.greatest("m_a", "m_b").alias("m")).select("a", salt.alias("salt"), "b"), "jaccard-salted")
+    # A member's roles are at most its partners in buckets; a probe's are parted, so no list grows with a group.
+    members = salted.select(F.col("b").alias("doc_id"), F.lit(-1).cast("long").alias("part"), F.struct("a", "salt", "b").alias("role"))
+    probes = salted.select("a", "salt").distinct().select(F.col("a").alias("doc_id"), F.floor(F.col("salt") / 1024).alias("part"), F.struct("a", "salt", F.lit(None).cast("long").alias("b")).alias("role"))
+    roles = members.unionByName(probes).groupBy("doc_id", "part").agg(F.collect_list("role").alias("roles")).drop("part")
+    if salted.count() <= BROADCAST_IDS // 4:  # two roles of 24 bytes a pair
+        roles = F.broadcast(roles)
+    sent = docs.join(roles, "doc_id").select("doc_id", "text", "roles").mapInArrow(_send_sets(k), "a long, salt long, b long, tokens binary")
+    found = materialize(sent.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
+    discard(pairs, salted)
     return found
 
 
@@ -393,8 +426,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PREFIX_BYTES))
-    # A word has about six bytes, so a counter holds some 10 to 20 shingles until the sketch has its full size.
-    bits = min(max((chars // 128).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    # A word has about six bytes, so a counter holds some 20 to 40 shingles until the sketch has its full size.
+    bits = min(max((chars // 256).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
     described = materialize(docs.mapInArrow(_describe(k, bits), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
     levels = spark.sparkContext.broadcast(_levels(described, bits, parts))
     packed = docs.mapInArrow(_prefixes(k, num, den, parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
