@@ -1,19 +1,29 @@
 """Host-level quality rules, built from native expressions only.
 
-Per document a few counts are taken and rules are judged; per host the rule
-failures are added up and shrunk towards a beta prior that is fitted to all
-hosts by moments; the host's verdict per rule is joined back.  A rule that a
-host breaks often enough (shrunk rate over ``host_limit``) becomes binding
-there: its documents that break the rule go.  A document that breaks no rule
-is never removed for its host's sake.
-
-Null texts count as empty, a null host is a host of its own, repeated rows
-are judged one by one, an empty table gives an empty result, and columns of
-the input other than the three named ones are ignored.
+Per document a few counts are taken and rules are judged: two hard ones, whose
+failure is ``base_failed``, and three soft ones.  Per host the failures are added
+up, rule by rule and of any rule, and each rate is shrunk towards a beta prior
+that is fitted to all hosts by moments.  The posteriors are the hosts' verdicts,
+which are joined back to the documents:
+
+* a host whose shrunk rate of documents with any failure is over ``host_limit``
+  is condemned: all its documents go;
+* a soft rule is waived on a host that breaks it credibly less often than the
+  corpus does (posterior mean and ``credible`` standard deviations below the corpus
+  rate): such breaches are odd pages of a sound host, and stay;
+* elsewhere the soft rule binds, and the documents that break it go.
+
+A host of few documents is close to the prior, so it is neither condemned nor
+waived.  Null texts count as empty, a null host is a host of its own, repeated rows
+are judged one by one, a rate exactly at a limit neither condemns nor waives,
+texts of any length are read whole, an empty table gives an empty result, and columns of
+the input other than the three named ones, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +34,10 @@ SYMBOLS = "#*$%&|<>"
 #: Above so many different repeated windows a sort replaces the scan of a short list.
 _SHORT = 64
 
-#: Soft rules: true where a document breaks one.
-RULES: dict[str, Column] = {}
+
+def hard_rules() -> dict[str, Column]:
+    n = F.col
+    return {"short": n("n_words") < 50, "repeats": 100 * n("n_repeat_words") > 50 * n("n_words")}
 
 
 def soft_rules() -> dict[str, Column]:
@@ -80,8 +92,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     return docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), counted.alias("c"), by_line.alias("l"), symbols.alias("n_symbols")).select("doc_id", "host", "c.*", "l.*", "n_symbols")
 
 
-def host_rates(judged: DataFrame, rules: list[str]) -> DataFrame:
-    """Per host and rule the failure rate, shrunk to a beta prior fitted to all hosts by moments."""
+def host_rates(judged: DataFrame, rules: list[str]) -> tuple[DataFrame, dict[str, float]]:
+    """Per host and rule the failure rate, shrunk to a beta prior fitted to all hosts by moments, and its posterior
+    standard deviation; and the corpus rate of each rule."""
     by_host = judged.groupBy("host").agg(F.count("*").alias("n"), *[F.sum(F.col(f"bad_{r}").cast("long")).alias(f"f_{r}") for r in rules])
     # One row of sums over hosts: rows, rows squared, hosts, and per rule the failures and n p^2.
     sums = [F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("hosts")]
@@ -89,27 +102,30 @@ def host_rates(judged: DataFrame, rules: list[str]) -> DataFrame:
         sums += [F.sum(f"f_{r}").alias(f"f_{r}"), F.sum(F.col(f"f_{r}") * F.col(f"f_{r}") / F.col("n")).alias(f"q_{r}")]
     t = by_host.agg(*sums).first()
     rows = t["rows"] or 1
-    out = by_host
+    out, corpus = by_host, {}
     for r in rules:
         m = min(max((t[f"f_{r}"] or 0) / rows, 1e-6), 1 - 1e-6)
         noise = m * (1 - m)
         # Variance between hosts: what their weighted spread exceeds that of one common rate.
         between = ((t[f"q_{r}"] or 0.0) - rows * m * m - noise * (t["hosts"] - 1)) / max(rows - (t["squares"] or 0) / rows, 1.0)
         weight = max(noise / max(between, noise * 1e-4) - 1, 1.0)
-        out = out.withColumn(f"rate_{r}", (F.col(f"f_{r}") + F.lit(m * weight)) / (F.col("n") + F.lit(weight)))
-    return out
+        rate = F.col(f"rate_{r}")
+        out = out.withColumn(f"rate_{r}", (F.col(f"f_{r}") + F.lit(m * weight)) / (F.col("n") + F.lit(weight))).withColumn(f"sd_{r}", F.sqrt(rate * (1 - rate) / (F.col("n") + F.lit(weight + 1))))
+        corpus[r] = m
+    return out, corpus
 
 
-def host_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_limit: float = 0.1) -> DataFrame:
+def host_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_limit: float = 0.5, credible: float = 1.645) -> DataFrame:
     """Counts, rule failures, host rates and the verdict of every document."""
-    rules = soft_rules()
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    hard, soft = hard_rules(), soft_rules()
+    broken = {f"bad_{r}": F.coalesce(c, F.lit(False)) for r, c in (hard | soft).items()}
+    either = lambda names: functools.reduce(Column.__or__, [F.col(f"bad_{r}") for r in names])
     judged = materialize(
-        measure(docs, id_col, text_col, host_col).withColumn("base_failed", base).withColumns({f"bad_{r}": F.coalesce(c, F.lit(False)) for r, c in rules.items()}),
+        measure(docs, id_col, text_col, host_col).withColumns(broken).withColumn("base_failed", either(hard)).withColumn("bad_any", either(hard | soft)),
         "quality",
     )
-    hosts = host_rates(judged, list(rules)).select(F.col("host").alias("at"), *[f"rate_{r}" for r in rules])
-    binding = F.lit(False)
-    for r in rules:
-        binding = binding | (F.col(f"bad_{r}") & F.coalesce(F.col(f"rate_{r}") > host_limit, F.lit(False)))
-    return judged.join(hosts, F.col("host").eqNullSafe(F.col("at")), "left").drop("at").withColumn("kept", ~F.col("base_failed") & ~binding)
+    hosts, corpus = host_rates(judged, [*soft, "any"])
+    verdicts = {f"waived_{r}": F.col(f"rate_{r}") + credible * F.col(f"sd_{r}") < F.lit(corpus[r]) for r in soft}
+    hosts = hosts.withColumns(verdicts).withColumn("condemned", F.col("rate_any") > host_limit).select(F.col("host").alias("at"), *verdicts, "condemned", "rate_any")
+    breach = functools.reduce(Column.__or__, [F.col(f"bad_{r}") & ~F.col(f"waived_{r}") for r in soft])
+    return judged.join(hosts, F.col("host").eqNullSafe(F.col("at")), "left").drop("at").withColumn("kept", ~F.col("base_failed") & ~F.col("condemned") & ~breach)

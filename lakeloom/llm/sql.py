@@ -30,16 +30,17 @@ ruled AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 10 * n_symbols > n_words AS b1, 10 * n_dup_lines > 3 * n_lines AS b2,
     word_chars < 2 * n_words OR word_chars > 15 * n_words AS b3 FROM judged),
 hosts AS (
-  SELECT source, count(*) AS n, sum(b1::INT) AS f1, sum(b2::INT) AS f2, sum(b3::INT) AS f3 FROM ruled GROUP BY source),
-long AS (SELECT source, n, unnest([1, 2, 3]) AS r, unnest([f1, f2, f3]) AS f FROM hosts),
+  SELECT source, count(*) AS n, sum(b1::INT) AS f1, sum(b2::INT) AS f2, sum(b3::INT) AS f3, sum((base_failed OR b1 OR b2 OR b3)::INT) AS f4 FROM ruled GROUP BY source),
+long AS (SELECT source, n, unnest([1, 2, 3, 4]) AS r, unnest([f1, f2, f3, f4]) AS f FROM hosts),
 moments AS (
   SELECT r, sum(n) AS rows, sum(n * n) AS squares, count(*) AS hosts, least(greatest(sum(f) / sum(n), 1e-6), 1 - 1e-6) AS m, sum(f * f / n) AS q FROM long GROUP BY r),
 prior AS (
   SELECT r, m, greatest(m * (1 - m) / greatest((q - rows * m * m - m * (1 - m) * (hosts - 1)) / greatest(rows - squares / rows, 1.0), m * (1 - m) * 1e-4) - 1, 1.0) AS k FROM moments),
-rates AS (SELECT source, r, (f + m * k) / (n + k) AS rate FROM long JOIN prior USING (r)),
-wide AS (SELECT source, max(rate) FILTER (r = 1) AS r1, max(rate) FILTER (r = 2) AS r2, max(rate) FILTER (r = 3) AS r3 FROM rates GROUP BY source)
+rates AS (SELECT source, r, m, n + k + 1 AS total, (f + m * k) / (n + k) AS rate FROM long JOIN prior USING (r)),
+verdicts AS (SELECT source, r, rate > 0.5 AS high, rate + 1.645 * sqrt(rate * (1 - rate) / total) < m AS low FROM rates),
+wide AS (SELECT source, bool_or(low) FILTER (r = 1) AS w1, bool_or(low) FILTER (r = 2) AS w2, bool_or(low) FILTER (r = 3) AS w3, bool_or(high) FILTER (r = 4) AS condemned FROM verdicts GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((b1 AND r1 > 0.1) OR (b2 AND r2 > 0.1) OR (b3 AND r3 > 0.1)) AS kept
+  NOT base_failed AND NOT condemned AND NOT ((b1 AND NOT w1) OR (b2 AND NOT w2) OR (b3 AND NOT w3)) AS kept
 FROM ruled JOIN wide ON ruled.source IS NOT DISTINCT FROM wide.source
 """
 

@@ -433,6 +433,40 @@ def test_tree_join_is_exact():
         assert sorted(jaccard.tree_join(x, sets, 4, 5)) == want
 
 
+def verdicts_by_hand(rows, z=1.645, limit=0.5):
+    """kept by (host, hard failure, soft failures) rows, with exact sums."""
+    hosts, out = {h for h, _, _ in rows}, {}
+    n = {h: sum(x == h for x, _, _ in rows) for h in hosts}
+    for r in ("symbols", "lines", "length", "any"):
+        bad = [(h, bool(hard or soft) if r == "any" else r in soft) for h, hard, soft in rows]
+        f = {h: sum(b for x, b in bad if x == h) for h in hosts}
+        m = min(max(sum(f.values()) / len(rows), 1e-6), 1 - 1e-6)
+        v = m * (1 - m)
+        spread = sum(f[h] ** 2 / n[h] for h in hosts) - len(rows) * m * m
+        between = (spread - v * (len(hosts) - 1)) / max(len(rows) - sum(x * x for x in n.values()) / len(rows), 1)
+        k = max(v / max(between, v * 1e-4) - 1, 1)
+        for h in hosts:
+            rate = (f[h] + m * k) / (n[h] + k)
+            out[h, r] = rate > limit if r == "any" else rate + z * (rate * (1 - rate) / (n[h] + k + 1)) ** 0.5 < m
+    return [not hard and not out[h, "any"] and all(out[h, r] for r in soft) for h, hard, soft in rows]
+
+
+def test_hosts_decide_documents(spark):
+    rng = random.Random(10)
+    clean = lambda: " ".join(f"word{rng.randrange(10**6)}" for _ in range(60))
+    junk = lambda: clean().replace(" ", "*** ")
+    rows = [("sound", junk)] + [("sound", clean)] * 220 + [("usual", junk)] * 18 + [("usual", clean)] * 60 + [("spam", junk)] * 70 + [("spam", clean)] * 10 + [("new", junk), (None, clean), (None, junk)]
+    texts = [make() for _, make in rows] + ["short"] * 3
+    hosts = [h for h, _ in rows] + ["sound", "usual", "spam"]
+    got = {r["doc_id"]: r for r in quality.host_quality(docs(spark, texts, hosts)).collect()}
+    failed = [{"symbols"} if "***" in t else set() for t in texts]
+    want = verdicts_by_hand([(h, t == "short", f) for h, t, f in zip(hosts, texts, failed, strict=True)])
+    assert [got[i]["kept"] for i in range(len(texts))] == want
+    by = lambda host, bad: {w for w, h, f in zip(want[:-3], hosts, failed, strict=False) if h == host and bool(f) == bad}
+    # Without the hosts, a document would stay just if it breaks no rule.
+    assert by("sound", True) == {True} and by("usual", True) == {False} and by("usual", False) == {True} and by("spam", False) == {False} and by("new", True) == {False} and by(None, False) == {True}
+
+
 # 10 pieces --------------------------------------------------------------
 
 
