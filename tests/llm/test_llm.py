@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -152,6 +153,68 @@ def test_pages_lose_nothing_outside_the_largest_element(page, want):
     assert html.extract("<body>" + page.format(long) + "</body>", None)[0] == want.format(long)
 
 
+def test_pages_keep_content_inside_the_article():
+    page = '<article><h1>T</h1><p>a</p><pre><code>x = 1 <span class="comment"># keep me</span></code></pre><figure><figcaption>Caption text</figcaption></figure><p>Sum <math><mi>x</mi></math> end</p><div class="ad">BUY</div><section class="comments"><p>nice</p></section></article>'
+    assert html.extract(page, None)[0] == "T a x = 1 # keep me Caption text Sum x end"
+
+
+def hosts_by_hand(pages):
+    """The votes of pages (host, html), counted exactly: {host: (paths, boilerplate)}."""
+    best, seen = {}, {}
+    for host, page in pages:
+        for path, size, text, article in html.page_votes(page):
+            if text is None:
+                best.setdefault(host, {}).setdefault(path, []).append(size)
+            else:
+                seen.setdefault(host, {}).setdefault(path, set()).add((text, article))
+    out = {}
+    for host in {*best, *seen}:
+        paths = [p for _, p in sorted((-sum(x), p) for p, x in best.get(host, {}).items() if len(x) > 1)]
+        gone = set()
+        for p, x in seen.get(host, {}).items():
+            texts, articles = ({y[i] for y in x} for i in (0, 1))
+            if len(articles) >= html.LEAST_PAGES and 2 * len(texts) <= len(articles) and p not in best.get(host, {}):
+                gone.add(p)
+        if paths or gone:
+            out[host] = (paths, gone)
+    return out
+
+
+def test_host_votes_decide(spark):
+    """Several layouts a host: an unmarked notice goes because the host's pages agree on it; the same block with a text of its own stays."""
+    rng = random.Random(21)
+    story = lambda: prose(rng, 80)
+    layouts = [
+        "<body><div class='x1'><p>We set files on your device.</p></div><div class='story'><h1>H</h1><p>{a}</p></div></body>",
+        "<body><article><h1>H</h1><p>{a}</p><div class='q'><p>Read our letter!</p></div><p>{b}</p></article></body>",
+        "<body><table><tr><td><p>{a}</p><ul class='z'><li>{c}</li></ul></td></tr></table></body>",
+    ]
+    pages, want = [], []
+    for i in range(36):
+        a, b, c = story(), story(), prose(rng, 6)
+        pages.append(("one.example", layouts[i % 3].format(a=a, b=b, c=c)))
+        want.append([f"H {a}", f"H {a} {b}", f"{a} {c}"][i % 3])
+    pages += [("two.example", layouts[0].format(a=(a := story())))] * 9  # copies of one article: nothing says what is boilerplate
+    want += [f"We set files on your device. H {a}"] * 9
+    rows = [(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r["host"]: (r["paths"], set(r["boilerplate"])) for r in html.host_paths(df).collect()} == hosts_by_hand(pages)
+    got = {r["page_id"]: r["text"] for r in html.extract_pages(df).collect()}
+    assert [got[i] for i in range(len(pages))] == want
+    alone = [html.extract(p, None)[0] for _, p in pages]
+    assert alone[0] != want[0] and alone[1] != want[1] and alone[2] == want[2]
+
+
+@pytest.mark.parametrize("part", ["<b>", "<p><b>", "<td><b><h1></i>", "</b><p>x<li>", "<div>"])
+def test_large_pages_of_open_tags(part):
+    page = "<p>Start " + part * ((1 << 18) // len(part)) + " end"
+    tracemalloc.start()
+    text = html.extract(page, None)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.startswith("Start") and text.endswith("end") and peak < 50 << 20  # a quarter of a megabyte of tags
+
+
 # 3 containment ----------------------------------------------------------
 
 
