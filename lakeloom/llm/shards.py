@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from lakeloom.plans.storage import materialize
 
 ROW_BYTES = 8
+#: Share of the rows above which a group is hot; rows of the merge plan that are broadcast; rows of a shard numbered together.
+HOT_SHARE, BROADCAST_ROWS, ROWS_PER_BUCKET = 1e-3, 1_000_000, 20_000
 
 
 def difference(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,31 +82,42 @@ def _local(shards: int):
 
 
 def balanced_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", groups_per_task: int = 50_000) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every row; group weights are UTF-8 bytes plus ``ROW_BYTES`` a row."""
+    """doc_id, size, text_crc32, shard and slot of every row; group weights are UTF-8 bytes plus ``ROW_BYTES`` a row.
+
+    Groups of more than ``HOT_SHARE`` of the rows, at most as many as its reciprocal, reach their rows by a broadcast.
+    """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialize(
         docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("key")),
         "shard-rows",
     )
-    groups = rows.groupBy("key").agg(F.sum("size").alias("weight"))
-    tasks = max(1, -(-rows.agg(F.approx_count_distinct("key")).first()[0] // groups_per_task))
+    groups = rows.groupBy("key").agg(F.sum("size").alias("weight"), F.count("*").alias("c"))
+    total, different = rows.agg(F.count("*"), F.approx_count_distinct("key")).first()
+    tasks = max(1, -(-different // groups_per_task))
+    hot = F.col("c") > max(1, int(HOT_SHARE * total))
+    frequent = groups.where(hot).select("key")
+    groups = groups.drop("c")
     groups = groups.repartition(tasks, "key").withColumn("part", F.spark_partition_id())
     placed = materialize(groups.mapInPandas(_local(shards), "key binary, part int, column int, sums array<bigint>"), "shard-groups")
     tuples = placed.where("sums is not null").select("part", "sums").orderBy("part").collect()  # one vector a task
     _, at = difference(np.array([t["sums"] for t in tuples], np.int64).reshape(len(tuples), shards))
     plan = spark.createDataFrame([(t["part"], c, int(at[i, c])) for i, t in enumerate(tuples) for c in range(shards)], "part int, column int, shard int")
-    to_shard = placed.where("sums is null").join(F.broadcast(plan), ["part", "column"]).select("key", "shard")
-    return with_slots(rows.join(to_shard, "key").drop("key"), ["shard"])
+    if len(tuples) * shards <= BROADCAST_ROWS:
+        plan = F.broadcast(plan)
+    to_shard = materialize(placed.where("sums is null").join(plan, ["part", "column"]).select("key", "shard"), "shard-plan")
+    few = materialize(to_shard.join(F.broadcast(frequent), "key", "left_semi"), "shard-hot")
+    placed_rows = rows.join(F.broadcast(few), "key").unionByName(rows.join(F.broadcast(few), "key", "left_anti").join(to_shard, "key"))
+    return with_slots(placed_rows.drop("key"), ["shard"], -(-total // (shards * ROWS_PER_BUCKET)))
 
 
-def with_slots(rows: DataFrame, by: list[str], buckets: int = 64) -> DataFrame:
+def with_slots(rows: DataFrame, by: list[str], buckets: int) -> DataFrame:
     """Add a gapless ``slot`` from 0 within each ``by`` without gathering a group in one task.
 
     Rows fall into buckets by a hash of all columns; buckets are counted, the counts give
     each bucket's first slot, and only rows of one bucket are numbered together.
     """
-    salted = rows.withColumn("bucket", F.pmod(F.xxhash64(*rows.columns), F.lit(buckets)))
+    salted = rows.withColumn("bucket", F.pmod(F.xxhash64(*rows.columns), F.lit(max(1, buckets))))
     salted = materialize(salted, "slots")
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = salted.groupBy(*by, "bucket").agg(F.count("*").alias("n")).select(*by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

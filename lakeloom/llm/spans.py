@@ -16,8 +16,12 @@ a passage that a third of all documents share meets there once a batch.
 
 Rows without doc_id are kept whole and not searched; null texts stay null;
 rows that repeat a doc_id are copies of one document (their equal places are
-one occurrence); an empty table gives an empty result; other columns are
-ignored.
+one occurrence, and the first one stays in each); occurrences of one run are never
+tied, since no two share doc_id and place; texts of any length are cut whole; an empty
+table gives an empty result; other columns, whatever their names, are ignored.
+
+A single sentence of ``RUNS``' last length or more counts as a run too: a passage of one
+long sentence would otherwise stay.
 """
 
 from __future__ import annotations
@@ -172,4 +176,7 @@ def drop_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     packed = docs.mapInArrow(_spans(4 * parts), "range int, settled boolean, entries binary").repartition(parts, "range")
     found = packed.mapInArrow(_settle, "doc_id long, spans binary")
     by_doc = found.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    return docs.join(by_doc, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_sentences long, n_removed long, text string")
+    # Rows without an id have no spans; they stay out of the join, where they would meet in one task.
+    named = docs.where("doc_id is not null").join(by_doc, "doc_id", "left").select("doc_id", "text", "spans")
+    unnamed = docs.where("doc_id is null").withColumn("spans", F.lit(None).cast("array<binary>"))
+    return named.unionByName(unnamed).mapInArrow(_cut, "doc_id long, n_sentences long, n_removed long, text string")

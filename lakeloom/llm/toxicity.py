@@ -10,13 +10,14 @@ folded; each is 0 or 1 and says that a text has the word at all, more than
 once, thrice or more, or at some rate a word (``LEVELS``), so a few toxic words
 count alike in texts of any length.  Only features whose share among the toxic
 examples is far from that among the unlabelled ones are weighted (``screen``).  The class prior
-is the toxic share of the training labels, bounded by what the features' shares allow.
+is the largest that the features' shares in the two samples allow: only toxic labels are ever used.
 
-The sample is bounded: ``max_positive`` and ``max_unlabelled`` documents, the
-least by a hash of their id.  Everything else, texts and scores, covers all
-documents.  Null and empty texts get the score of no features; without any
+Both samples are bounded and of labelled rows: ``max_positive`` toxic ones, and as
+unlabelled text ``max_unlabelled`` rows whatever their label says, the least by a hash
+of their id (equal hashes by id).  Everything else, texts and scores, covers all
+documents, whole texts of any length.  Null and empty texts get the score of no features; without any
 confirmed toxic example all scores are 0; repeated rows are scored alike; an
-empty table gives an empty result; other columns are no inputs.
+empty table gives an empty result; other columns, whatever their names, are no inputs.
 """
 
 from __future__ import annotations
@@ -143,9 +144,13 @@ def _score(model):
 
 
 def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, screen: float = 5.0, keep: tuple[str, ...] = ()
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_positive: int = 4000, max_unlabelled: int = 12_000, max_features: int = 8192, screen: float = 5.0, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, held_out, the columns ``keep`` and score of every document; labels of the held-out fold are never read."""
+    """doc_id, held_out, the columns ``keep`` and score of every document; labels of the held-out fold are never read.
+
+    ``max_positive`` and ``max_unlabelled``: rows of the labels that train the classifier; ``max_features``: weights of the
+    classifier, those with the largest deviation between the two samples, of the features that deviate by ``screen`` or more.
+    """
     spark = docs.sparkSession
     fold = lambda c: F.coalesce(F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
     kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
@@ -153,9 +158,8 @@ def toxicity_scores(
     known = labels.where("doc_id is not null and toxic is not null").where(~fold("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = docs.where("doc_id is not null").where(~fold("doc_id")).select("doc_id")
-    share = known.join(ids.distinct(), "doc_id", "left_semi").agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     positive = known.where("toxic = 1").select("doc_id").join(ids.distinct(), "doc_id", "left_semi").orderBy(*order).limit(max_positive)
-    some = ids.distinct().orderBy(*order).limit(max_unlabelled)
+    some = known.select("doc_id").join(ids.distinct(), "doc_id", "left_semi").orderBy(*order).limit(max_unlabelled)  # their labels are not used
     wanted = positive.select("doc_id", F.lit(1).alias("toxic")).unionByName(some.select("doc_id", F.lit(0).alias("toxic")))
     # At most max_positive + max_unlabelled ids of 12 bytes: bounded by the parameters.
     sample = materialize(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("toxic", "text").repartition(8), "toxic-sample")
@@ -163,17 +167,17 @@ def toxicity_scores(
     size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_p, n_u = size.get(1, 0), size.get(0, 0)
     known, weights, intercept = np.zeros(0, np.int64), np.zeros(0), -50.0
-    if n_p and n_u and share:
+    if n_p and n_u:
         all_rate = (F.col("n1") + F.col("n0")) / F.lit(n_p + n_u)
         z = (F.col("n1") / n_p - F.col("n0") / n_u) / F.sqrt(all_rate * (1 - all_rate) * F.lit(1 / n_p + 1 / n_u) + 1e-12)
-        chosen = rates.where(F.abs(z) > screen).orderBy(F.desc(F.abs(z)), "feature").limit(1 << 13).select("feature").collect()
+        chosen = rates.where(F.abs(z) > screen).orderBy(F.desc(F.abs(z)), "feature").limit(max_features).select("feature").collect()
         known = np.sort(np.array([r["feature"] for r in chosen], np.int64))
         rows = sample.mapInArrow(_rows_of(spark.sparkContext.broadcast(known)), "toxic int, features array<int>").collect() if len(known) else []
         part = lambda c: [np.array(r["features"], np.int64) for r in rows if r["toxic"] == c]
         # Unlabelled text is a mixture that holds the toxic one with weight pi, so no feature's share there is below pi
-        # times its share among the toxic examples: labels that are not a fair sample cannot raise pi beyond that.
-        least = rates.where(F.col("n1") >= max(10, n_p // 20)).agg(F.min((F.col("n0") + 2 * F.sqrt("n0") + 1) / n_u / (F.col("n1") / n_p))).first()[0]
-        w = fit_nnpu(part(1), part(0), len(known), min(max(min(share, least or 1.0), 1e-4), 0.5))
+        # times its share among the toxic examples.  The least such bound is the prior: no confirmed negative is needed.
+        least = rates.where(F.col("n1") >= max(10, n_p // 20)).agg(F.min((F.col("n0") + F.sqrt("n0")) / n_u / (F.col("n1") / n_p))).first()[0]
+        w = fit_nnpu(part(1), part(0), len(known), min(max(least or 0.5, 1e-4), 0.5))
         weights, intercept = w[:-1], float(w[-1])
     model = spark.sparkContext.broadcast((known, weights, intercept))
     ready = docs.select("doc_id", fold("doc_id").alias("held_out"), *[f"kept_{i}" for i in range(len(keep))], "text")
