@@ -177,7 +177,7 @@ def toxicity_scores(
         # Unlabelled text is a mixture that holds the toxic one with weight pi, so no feature's share there is below pi
         # times its share among the toxic examples.  The least such bound is the prior: no confirmed negative is needed.
         least = rates.where(F.col("n1") >= max(10, n_p // 20)).agg(F.min((F.col("n0") + F.sqrt("n0")) / n_u / (F.col("n1") / n_p))).first()[0]
-        w = fit_nnpu(part(1), part(0), len(known), min(max(least or 0.5, 1e-4), 0.5))
+        w = fit_nnpu(part(1), part(0), len(known), min(max(least or n_p / (n_p + n_u), 1e-4), 0.5))
         weights, intercept = w[:-1], float(w[-1])
     model = spark.sparkContext.broadcast((known, weights, intercept))
     ready = docs.select("doc_id", fold("doc_id").alias("held_out"), *[f"kept_{i}" for i in range(len(keep))], "text")

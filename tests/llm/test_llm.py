@@ -87,6 +87,16 @@ def test_secret_battery(spark):
     assert all((s["start"], s["end"]) == (2, 46) for i in range(60) for s in got[i])
 
 
+def test_secret_battery_finds_short_keys(spark):
+    rng = random.Random(22)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(alphabet) for _ in range(16)) for _ in range(50)]
+    plain = ["internationalization", "misunderstanding", "Straightforward", "congratulations", "aaaaaaaaaaaaaaaa", "responsibilities"]
+    texts = [f"x {k} y" for k in keys] + [f"x {p} y" for p in plain * 40]
+    got = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "random"] for r in secrets.scan_secrets(docs(spark, texts)).collect()}
+    assert sum(len(got[i]) for i in range(50)) >= 40 and all(not got[i] for i in range(50, len(texts)))
+
+
 def test_secret_tokens_end_at_equals_signs_and_in_mixed_paths():
     a, b, c = "Ab1" * 8, "x/y+Z9" * 5, "q-r_S7" * 5
     text = f"KEY_NAME={a} sig={b}== ?auth={c}&x {a}={c} /my_dir/{a}/x-y/{c} d_e/{'n+m' * 8}/z {a}+{c} short=ab {b} {c}"
@@ -253,6 +263,26 @@ def test_difference_is_a_partition():
     assert shards.difference(np.zeros((0, 3), np.int64))[0].tolist() == [0, 0, 0]
 
 
+def test_difference_against_brute_force():
+    """Karmarkar-Karp with explicit lists of members: the same spread rule, the first made first."""
+    rng = random.Random(6)
+    for _ in range(30):
+        k, n = rng.choice([2, 3, 5]), rng.randrange(1, 40)
+        weights = [rng.randrange(1, 60) for _ in range(n)]
+        open_ = [(i, [(0, [])] * (k - 1) + [(w, [i])]) for i, w in enumerate(weights)]
+        while len(open_) > 1:
+            open_.sort(key=lambda x: (x[1][0][0] - x[1][-1][0], x[0]))
+            (_, a), (_, b) = open_.pop(0), open_.pop(0)
+            merged = sorted(((x + y, p + q) for (x, p), (y, q) in zip(a, reversed(b), strict=True)), key=lambda x: x[0])
+            open_.append((len(weights) + 1000 - len(open_), merged))
+        v = np.zeros((n, k), np.int64)
+        v[:, 0] = weights
+        final, place = shards.difference(v)
+        assert sorted(final.tolist()) == [x for x, _ in open_[0][1]]
+        got = [sum(w for w, c in zip(weights, place[:, 0], strict=True) if c == j) for j in range(k)]
+        assert got == final.tolist()
+
+
 def test_shards(spark):
     rng = random.Random(5)
     texts = [prose(rng, rng.randrange(1, 90)) for _ in range(400)] + ["same é"] * 30 + ["", None]

@@ -77,3 +77,47 @@ def test_all_null_rows(spark):
     assert contain.contained_items(df, items).count() == 0
     assert html.extract_pages(spark.createDataFrame([(None, None, None)], "page_id long, url string, html string")).first()["text"] == ""
     assert chat.format_chats(spark.createDataFrame([(None, None, None, None)], "conv_id long, turn long, role string, text string")).first()["round_trip"]
+
+
+def test_very_long_texts_and_repeated_rows(spark):
+    """Whole texts, and equal results for rows that repeat an id."""
+    rng = random.Random(23)
+    item = prose(rng, 40, 5000)
+    long = prose(rng, 40_000, 5000) + " " + item + " token=abcdefgh12345678 " + prose(rng, 20_000, 5000)
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in [(1, long), (1, long), (2, long), (3, "short"), (3, "short")]], DOC)
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    spans_of = [(r["doc_id"], [(s["start"], s["end"]) for s in r["spans"]]) for r in secrets.scan_secrets(df).collect()]
+    at = long.index("token=")
+    assert sorted(spans_of) == [(1, [(at, at + 22)])] * 2 + [(2, [(at, at + 22)])] + [(3, [])] * 2
+    assert {(r["doc_id"], r["item_id"]) for r in contain.contained_items(df, items).collect()} == {(1, 7), (2, 7)}
+    placed = shards.balanced_shards(df, 2).collect()
+    assert len(placed) == 5 and len({r["shard"] for r in placed if r["doc_id"] < 3}) == 1
+    cut = sorted((r["doc_id"], r["n_removed"] > 0) for r in spans.drop_repeated_spans(df).collect())
+    assert cut == [(1, False), (1, False), (2, True), (3, False), (3, False)]
+    judged = {(r["doc_id"], r["n_words"], r["kept"]) for r in quality.host_quality(df).collect()}
+    assert {(d, n) for d, n, _ in judged} == {(1, 60_041), (2, 60_041), (3, 1)}
+    assert len({(r["doc_id"], r["score"]) for r in toxicity.toxicity_scores(df, labels).collect()}) == 3
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_classes(df).collect()} == {(1, 1), (2, 1), (3, 3)}
+    got = pieces.sample_segmentations(df, k=2)
+    assert got.where("round_trip").count() == got.count() == 10 and got.select("doc_id", "sample", "pieces").distinct().count() == 6
+
+
+def test_stages_ignore_extra_columns_and_repeat_rows(spark, tmp_path):
+    rng = random.Random(24)
+    texts = [prose(rng, 60, 5000) for _ in range(8)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    write(spark, tmp_path, rows, [(1, 1, 0)], [(1, texts[3])])
+    df = spark.createDataFrame(rows + rows[:2], DOC).withColumns({c: F.lit(1) for c in ("score", "spans", "rep", "component_id", "item_id", "held_out", "kept_0")})
+    for (name, stage), left in zip(corpus_pipeline.STAGES, (10, 10, 9, 10, 20), strict=True):
+        out = stage(spark, df, str(tmp_path))
+        assert out.count() == left, name
+        assert name == corpus_pipeline.STAGES[-1][0] or out.columns == corpus_pipeline.COLUMNS
+
+
+def test_ties(spark):
+    """Equal texts, sizes, scores and sources: results do not depend on the order of the rows."""
+    df = spark.createDataFrame([(i, "one two three four five six seven. " * 3, "en", "s", 9) for i in range(12)], DOC)
+    for of in (lambda d: shards.balanced_shards(d, 4), spans.drop_repeated_spans, quality.host_quality, jaccard.jaccard_classes, lambda d: pieces.sample_segmentations(d, k=2)):
+        a, b = (sorted(map(str, of(d).collect())) for d in (df.repartition(3), df.orderBy(F.desc("doc_id")).coalesce(1)))
+        assert a == b
