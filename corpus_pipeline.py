@@ -3,8 +3,10 @@
 toxicity drops documents with a toxicity score of 0.5 or more, similar keeps the document
 with the least id of each group of near copies, benchmark drops documents that hold
 a benchmark item, secrets replaces secrets in the texts, and pieces segments the texts.
-All stages but the last return the columns of ``documents``; rows without an id pass
-the filters that need one.
+All stages but the last return the columns of ``documents``, others are dropped, whatever their
+names; rows without an id pass the filters that need one; null texts stay null and pass; rows that
+repeat an id share its fate, so copies under one id stay together; of tied documents the least id
+stays; whole texts of any length are read; an empty table passes every stage as an empty one.
 """
 
 from __future__ import annotations
