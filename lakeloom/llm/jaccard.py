@@ -417,6 +417,16 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
     return found
 
 
+def _attached(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """An inner join with a table of one row a key and the number ``c`` of its rows among ``total``.
+
+    Keys of more than ``HOT_SHARE`` of the rows, at most as many as its reciprocal, are broadcast, so no task meets all rows of one.
+    """
+    often = F.col("c") > max(1, int(HOT_SHARE * total))
+    hot, cold = F.broadcast(table.where(often).drop("c")), table.where(~often).drop("c")
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5, bucket: int | None = None, group: int = 256) -> DataFrame:
     """doc_id, n_shingles and component_id: the least id that links of Jaccard ``num / den`` or more reach.
 
@@ -437,10 +447,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows, same = described.where("sketch is null").select("doc_id", "n", "f1", "f2"), ["n", "f1", "f2"]
     some = rows.where("n > 0")
     classes = materialize(some.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "jaccard-reps")
-    often = F.col("c") > max(1, int(HOT_SHARE * rows.count()))
-    hot, cold = F.broadcast(classes.where(often).drop("c")), classes.where(~often).drop("c")
-    known = some.join(hot, same).unionByName(some.join(hot.drop("rep"), same, "left_anti").join(cold, same))
-    known = materialize(known.select("doc_id", "n", "rep").unionByName(rows.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("rep"))), "jaccard-classes")
+    known = materialize(_attached(some, classes, same, rows.count()).select("doc_id", "n", "rep").unionByName(rows.where("n = 0").select("doc_id", "n", F.lit(None).cast("long").alias("rep"))), "jaccard-classes")
     to_rep = known.where("doc_id is not null and rep <> doc_id").select(F.col("doc_id").alias("copy"), "rep").distinct()
 
     def represented(df: DataFrame, column: str) -> DataFrame:
@@ -462,13 +469,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialize(members, "jaccard-crowd")
     # The member of most large buckets stands in the middle of its group of copies: most others are linked with it, if with any.
     known_well = members.groupBy("rep").agg(F.count("*").alias("w"))
-    anchors = members.join(known_well, "rep").groupBy("token").agg(F.max_by("rep", F.struct("w", -F.col("rep"))).alias("anchor"))
+    anchors = members.join(known_well, "rep").groupBy("token").agg(F.max_by("rep", F.struct("w", -F.col("rep"))).alias("anchor"), F.count("*").alias("c"))
+    anchors, crowd = materialize(anchors, "jaccard-anchors"), members.count()
 
     def mixed(labels: DataFrame) -> DataFrame:
         """(anchor, token, rep, n, label) of large buckets with more than one component."""
         rows = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("label"))
         some = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-        return rows.join(some, "token", "left_semi").join(anchors, "token")
+        return _attached(rows, anchors.join(some, "token", "left_semi"), ["token"], crowd)
 
     def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
         """The labels after more links: components of labels, since what they hold is connected already."""
