@@ -6,16 +6,18 @@ windows, equi-joins and aggregates on hashes.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.similarity import dot, equal_share
-from lakeloom.functions.text import normalize_text, shingles
+from lakeloom.functions.text import normalize_text, shingles, truncate_words
+from lakeloom.plans.storage import materialize
+from lakeloom.sources.files import embed_texts
 
 #: MinHash functions ``(a x + b) mod PRIME`` of 32-bit shingle hashes; bands by rows for a threshold of 0.7.
 SLOTS, PRIME, BANDS, ROWS = 128, 2147483647, 14, 9
@@ -57,12 +59,14 @@ def representatives(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures of the shingles' 32-bit hashes."""
     a, b = (np.array(x, np.int64)[:, None] for x in zip(*slot_constants(), strict=True))
     for batch in batches:
         out = []
-        for grams in batch.column(1).to_pylist():
-            # Without words all such documents agree: one fixed shingle stands for none.
-            h = np.array([int(hashlib.md5(g.encode()).hexdigest()[:8], 16) for g in grams or [""]], np.int64) % PRIME
+        lists = batch.column(1)
+        flat, at = lists.flatten().to_numpy(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+        for x, y in zip(at[:-1], at[1:], strict=True):
+            h = flat[x:y] % PRIME
             low = np.full(SLOTS, PRIME, np.int64)
             for part in np.array_split(h, max(1, len(h) // 4096)):
                 low = np.minimum(low, ((a * part + b) % PRIME).min(axis=1))
@@ -74,8 +78,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def minhash_signatures(docs: DataFrame) -> DataFrame:
     """(base_path, signature): least hash of the five-word shingles under each of ``SLOTS`` functions."""
-    grams = docs.select("base_path", shingles(F.coalesce("text", F.lit(""))).alias("grams"))
-    return grams.mapInArrow(_sign, "base_path string, signature array<long>")
+    # MD5 in the JVM; without words all such documents agree: one fixed shingle stands for none.
+    grams = shingles(F.coalesce("text", F.lit("")))
+    some = F.when(F.size(grams) > 0, grams).otherwise(F.array(F.lit("")))
+    hashes = F.transform(some, lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 8), 16, 10).cast("long"))
+    return docs.select("base_path", hashes.alias("hashes")).mapInArrow(_sign, "base_path string, signature array<long>")
+
+
+def _bands(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first path of each signature, and (path, band, key) of these."""
+    first = signatures.groupBy("signature").agg(F.min("base_path").alias("path"))
+    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.slice("signature", i * ROWS + 1, ROWS)).alias("key")) for i in range(BANDS)])
+    return first, first.select("path", F.explode(bands).alias("b")).select("path", "b.*")
 
 
 def band_pairs(signatures: DataFrame) -> DataFrame:
@@ -84,9 +98,7 @@ def band_pairs(signatures: DataFrame) -> DataFrame:
     Equal signatures are one class first, so copies meet once; all links between different signatures
     and from each copy to its class's first document are returned.
     """
-    first = signatures.groupBy("signature").agg(F.min("base_path").alias("path"))
-    bands = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.slice("signature", i * ROWS + 1, ROWS)).alias("key")) for i in range(BANDS)])
-    keyed = first.select("path", F.explode(bands).alias("b")).select("path", "b.*")
+    first, keyed = _bands(signatures)
     crowded = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     keyed = keyed.join(crowded, ["band", "key"], "left_semi")
     other = keyed.withColumnRenamed("path", "other")
@@ -97,6 +109,29 @@ def band_pairs(signatures: DataFrame) -> DataFrame:
     return scored.unionByName(copies)
 
 
+def band_links(signatures: DataFrame) -> DataFrame:
+    """(path_a, path_b): the pairs of ``band_pairs`` without those that others imply: each bucket is a star around its least path.
+
+    The same components and the same documents in some pair, with rows in proportion to the documents.
+    """
+    first, keyed = _bands(signatures)
+    heads = keyed.groupBy("band", "key").agg(F.min("path").alias("path_a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    stars = keyed.join(heads, ["band", "key"]).where("path <> path_a").select("path_a", F.col("path").alias("path_b")).distinct()
+    copies = signatures.join(first, "signature").where("base_path <> path").select(F.col("path").alias("path_a"), F.col("base_path").alias("path_b"))
+    return stars.unionByName(copies)
+
+
+def embed_duplicates(docs: DataFrame, pairs: DataFrame, model: Callable[[list[str]], list[list[float]]], least: float = 0.92, words: int = 512) -> DataFrame:
+    """(path_a, path_b, cosine_sim) of the candidate pairs whose embeddings have a cosine of ``least`` or more.
+
+    Only the pairs' documents are encoded, once each, from their first ``words`` words; vectors are normalised; a vector of
+    zeros is like no other.
+    """
+    some = candidate_docs(docs, pairs).select("base_path", truncate_words(F.coalesce("text", F.lit("")), words).alias("text"))
+    vectors = materialize(embed_texts(some, "text", "embedding", model).select("base_path", "embedding"), "embeddings")
+    return score_pairs(pairs.select("path_a", "path_b"), vectors).where((~F.col("skipped")) & (F.col("cosine_sim") >= least)).select("path_a", "path_b", "cosine_sim")
+
+
 def min_jaccard(pairs: DataFrame, least: float = 0.0) -> DataFrame:
     """All pairs where ``least`` is 0, else those estimated at ``least`` or more."""
     return pairs.where(F.col("jaccard_est") >= least) if least > 0 else pairs

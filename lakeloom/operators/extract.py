@@ -19,8 +19,8 @@ REPLY = (
 
 
 def ask(chunks: DataFrame, model: Callable[[list[str]], list[str]], text_col: str = "text") -> DataFrame:
-    """Add ``reply``: the model's answer to each text."""
-    return map_texts(chunks, text_col, "reply", model, "string")
+    """Add ``reply``, the model's answer to each text, and ``error``, what the model raised for it, else null."""
+    return map_texts(chunks, text_col, "reply", model, "string", error_col="error")
 
 
 def parse_replies(replies: DataFrame) -> DataFrame:
@@ -34,8 +34,13 @@ def resume_docs(chunks: DataFrame, log: DataFrame) -> DataFrame:
     return chunks.join(done, F.col("chunk_id").cast("string") == F.col("_done"), "left_anti")
 
 
+def _answered(parsed: DataFrame) -> DataFrame:
+    """The rows whose extraction did not fail; a failed one leaves its log row only."""
+    return parsed.where("error is null") if "error" in parsed.columns else parsed
+
+
 def documents(parsed: DataFrame) -> DataFrame:
-    return parsed.select(F.col("chunk_id").cast("string").alias("document_id"), *[normalize_field(F.col(f"parsed.metadata.{f}")).alias(f) for f in FIELDS])
+    return _answered(parsed).select(F.col("chunk_id").cast("string").alias("document_id"), *[normalize_field(F.col(f"parsed.metadata.{f}")).alias(f) for f in FIELDS])
 
 
 def _given(c: Column) -> Column:
@@ -44,7 +49,7 @@ def _given(c: Column) -> Column:
 
 def mentions(parsed: DataFrame) -> DataFrame:
     """One row an entity of a reply; name and type must not be empty before they are trimmed."""
-    e = parsed.select("chunk_id", F.posexplode("parsed.entities").alias("nth", "e"))
+    e = _answered(parsed).select("chunk_id", F.posexplode("parsed.entities").alias("nth", "e"))
     e = e.where(_given(F.col("e.name")) & _given(F.col("e.type")))
     return e.select("chunk_id", "nth", F.trim("e.name").alias("name"), F.trim("e.type").alias("type"), F.trim(F.coalesce("e.description", F.lit(""))).alias("description"))
 
@@ -57,15 +62,17 @@ def fold_entities(found: DataFrame) -> DataFrame:
 
 
 def relationships(parsed: DataFrame) -> DataFrame:
-    r = parsed.select("chunk_id", F.posexplode("parsed.relationships").alias("nth", "r"))
+    r = _answered(parsed).select("chunk_id", F.posexplode("parsed.relationships").alias("nth", "r"))
     r = r.where(_given(F.col("r.source")) & _given(F.col("r.target")) & _given(F.col("r.type")))
     text = lambda c: F.trim(F.coalesce(f"r.{c}", F.lit("")))
     return r.select("nth", *[text(c).alias(c) for c in ("source", "target", "type", "description")], F.col("chunk_id").cast("string").alias("document_id"))
 
 
 def processing_log(parsed: DataFrame) -> DataFrame:
-    """A row a document: success, and whether its reply could be read."""
-    return parsed.select(F.col("chunk_id").cast("string").alias("document_id"), F.lit(True).alias("success"), F.col("parsed.entities").isNotNull().alias("readable"))
+    """A row a document: whether the model answered, what it raised if not, and whether its reply could be read."""
+    error = F.col("error") if "error" in parsed.columns else F.lit(None).cast("string")
+    readable = error.isNull() & F.col("parsed.entities").isNotNull()
+    return parsed.select(F.col("chunk_id").cast("string").alias("document_id"), error.isNull().alias("success"), error.alias("error_message"), readable.alias("readable"))
 
 
 def extract_stats(docs: DataFrame, entities: DataFrame, rels: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@ from lakeloom.functions.text import blocking_tokens, merge_key, normalize_name
 from lakeloom.operators.components import connected_components
 from lakeloom.operators.dedup import _numbered
 
-#: Vectors of one block of queries that is broadcast to all rows.
-BLOCK_ROWS = 20_000
+#: Vectors of one block, of which two meet in a task; names of a token's block.
+BLOCK_ROWS, TOKEN_ROWS = 20_000, 2_000
 
 
 def _docs() -> F.Column:
@@ -48,11 +48,20 @@ def _with_canonical(members: DataFrame) -> DataFrame:
 def token_pairs(entities: DataFrame) -> DataFrame:
     """Different pairs of names (name_a < name_b) that share a blocking token and differ in their keys."""
     keyed = entities.select("name").distinct().withColumn("k", normalize_name(F.col("name")))
-    tokens = keyed.withColumn("token", F.explode(blocking_tokens(F.col("k"))))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    tokens = tokens.join(shared, "token", "left_semi")
-    a, b = (tokens.select("token", F.col("name").alias(f"name_{s}"), F.col("k").alias(f"key_{s}")) for s in "ab")
-    return a.join(b, "token").where("name_a < name_b and key_a <> key_b").select("name_a", "name_b", "key_a", "key_b").distinct()
+    tokens = keyed.withColumn("tokens", blocking_tokens(F.col("k"))).withColumn("token", F.explode(F.array_distinct("tokens")))
+    shared = tokens.groupBy("token").agg(F.ceil(F.count("*") / TOKEN_ROWS).alias("blocks"), F.count("*").alias("n")).where("n > 1").drop("n")
+    tokens = tokens.join(shared, "token").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")))
+    # A block meets itself and every later one, each in a task of its own: a frequent token is no hot key.
+    later, before = F.sequence(F.col("own"), F.col("blocks") - 1), F.sequence(F.lit(0).cast("long"), F.col("own"))
+    side = lambda s: [F.col("name").alias(f"name_{s}"), F.col("k").alias(f"key_{s}"), F.col("tokens").alias(f"tokens_{s}")]
+    a = tokens.select("token", *side("a"), F.col("own").alias("i"), F.explode(later).alias("j"))
+    b = tokens.select("token", *side("b"), F.explode(before).alias("i"), F.col("own").alias("j"))
+    met = a.join(b, ["token", "i", "j"]).where("key_a <> key_b and (i < j or name_a < name_b)")
+    # A pair belongs to the least token it shares, so it appears once.
+    once = met.where(F.col("token") == F.array_min(F.array_intersect("tokens_a", "tokens_b")))
+    turn = F.col("name_a") > F.col("name_b")
+    swap = lambda x, y: F.when(turn, F.col(y)).otherwise(F.col(x))
+    return once.select(swap("name_a", "name_b").alias("name_a"), swap("name_b", "name_a").alias("name_b"), swap("key_a", "key_b").alias("key_a"), swap("key_b", "key_a").alias("key_b"))
 
 
 def scored_pairs(entities: DataFrame, threshold: float = 0.88) -> DataFrame:
@@ -118,6 +127,24 @@ def rewrite_stats(entities: DataFrame, merged: DataFrame, rels: DataFrame, mappe
     return out.drop("k").withColumn("entities_removed", F.col("original_entities") - F.col("final_entities")).withColumn("relationships_deduped", F.col("original_relationships") - F.col("final_relationships"))
 
 
+def dry_run_stats(entities: DataFrame, rels: DataFrame, groups: DataFrame) -> DataFrame:
+    """The counters of ``rewrite_stats`` as a merge of these groups would leave the entities; relationships stay as they are."""
+    one = entities.agg(F.count("*").alias("original_entities")).withColumn("k", F.lit(1))
+    for p in (rels.agg(F.count("*").alias("original_relationships")), groups.agg(F.countDistinct("group_key").alias("merge_groups"), F.count("*").alias("entities_involved"))):
+        one = one.join(p.withColumn("k", F.lit(1)), "k")
+    gone = F.col("entities_involved") - F.col("merge_groups")
+    return one.drop("k").withColumns(
+        {"final_entities": F.col("original_entities") - gone, "entities_removed": gone, "final_relationships": F.col("original_relationships"), "relationships_rewritten": F.lit(0).cast("long"), "relationships_deduped": F.lit(0).cast("long")}
+    )
+
+
+def report_stats(stats: DataFrame, source: str, output: str, threshold: float | None, pairs: DataFrame, dry_run: bool = False) -> DataFrame:
+    """One row: what a run read and wrote, its threshold, the counters of ``stats`` and the number of candidate pairs."""
+    count = pairs.agg(F.count("*").alias("candidate_pairs")).withColumn("k", F.lit(1))
+    run = {"dry_run": F.lit(dry_run), "source_db": F.lit(source), "output_db": F.lit(output), "threshold": F.lit(threshold).cast("double")}
+    return stats.withColumn("k", F.lit(1)).join(count, "k").drop("k").withColumns(run)
+
+
 def report_groups(groups: DataFrame) -> DataFrame:
     """(canonical, member_count, members) by size; members by rank."""
     members = F.transform(F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda x: x["name"])
@@ -128,47 +155,66 @@ def report_pairs(pairs: DataFrame, n: int = 500) -> DataFrame:
     return pairs.orderBy(F.desc("combined"), "name_a", "name_b").limit(n)
 
 
-def _top(block, k: int):
+def _top(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = block.value
-        for batch in batches:
-            if not batch.num_rows:
+        """The ``k`` best of one block for every vector of another; rows come sorted by the pair of blocks."""
+        for g in _runs(batches, ["x", "y"]):
+            asks = g["asks"].to_numpy()
+            ids = g["id"].to_numpy()
+            v = g["v"].combine_chunks()
+            rows = np.asarray(v.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(ids), -1)
+            i, j, other = ids[asks], ids[~asks], rows[~asks]
+            if not len(i) or not len(j):
                 continue
-            j = batch.column(0).to_numpy()
-            v = batch.column(1)
-            rows = np.asarray(v.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
-            sims = matrix @ rows.T
-            sims[ids[:, None] == j[None, :]] = -np.inf
+            order = np.argsort(j, kind="stable")
+            j, other = j[order], other[order]
             best = min(k, len(j))
-            at = np.lexsort((np.broadcast_to(j, sims.shape), -sims), axis=1)[:, :best]
-            i = np.repeat(ids, best)
-            found = np.take_along_axis(sims, at, 1).ravel()
-            keep = np.isfinite(found)
-            yield pa.RecordBatch.from_arrays([pa.array(i[keep]), pa.array(j[at].ravel()[keep]), pa.array(found[keep])], ["i", "j", "sim"])
+            for part in np.array_split(np.arange(len(i)), max(1, len(i) * len(j) // 4_000_000)):
+                sims = rows[asks][part] @ other.T
+                sims[i[part][:, None] == j[None, :]] = -np.inf
+                at = np.argsort(-sims, axis=1, kind="stable")[:, :best]  # ties to the lesser id
+                found = np.take_along_axis(sims, at, 1).ravel()
+                keep = np.isfinite(found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(i[part], best)[keep]), pa.array(j[at].ravel()[keep]), pa.array(found[keep])], ["i", "j", "sim"])
 
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal keys of a sorted stream."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in keys]
+        new = np.append(True, np.any([c[1:] != c[:-1] for c in at], axis=0))
+        first = np.flatnonzero(new)
+        for a, b in zip(first, np.append(first[1:], batch.num_rows), strict=True):
+            key = tuple(c[a] for c in at)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def topk_neighbours(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(i, j, sim, rank): the ``k`` most similar other rows of every row, ties to the lesser id.
 
-    The queries go in blocks of ``BLOCK_ROWS`` vectors, each against all rows; a batch keeps its own ``k`` best per query.
+    Rows fall into blocks of at most about ``BLOCK_ROWS`` vectors by a hash of their id; each pair of blocks meets in a task
+    and gives its own ``k`` best, so nothing passes through the driver.
     """
-    spark = vectors.sparkSession
-    v = vectors.select(F.col(id_col).cast("long").alias("j"), F.col(vector_col).alias("v")).where("v is not null")
-    out, ids, rows = spark.createDataFrame([], "i long, j long, sim double"), [], []
-
-    def search() -> DataFrame:
-        block = spark.sparkContext.broadcast((np.array(ids, np.int64), np.array(rows, np.float64)))
-        return v.mapInArrow(_top(block, k), "i long, j long, sim double")
-
-    for r in v.toLocalIterator(prefetchPartitions=True):
-        ids.append(r["j"]), rows.append(r["v"])
-        if len(ids) == BLOCK_ROWS:
-            out = out.unionByName(search())
-            ids, rows = [], []
-    if ids:
-        out = out.unionByName(search())
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("v is not null and id is not null")
+    tasks = v.sparkSession.sparkContext.defaultParallelism
+    blocks = max(-(-v.count() // BLOCK_ROWS), int(np.ceil(np.sqrt(tasks))))
+    own, every = F.pmod(F.xxhash64("id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    asks = v.select("id", "v", own.alias("x"), every.alias("y"), F.lit(True).alias("asks"))
+    gives = v.select("id", "v", every.alias("x"), own.alias("y"), F.lit(False).alias("asks"))
+    met = asks.unionByName(gives).repartition(blocks * blocks, "x", "y").sortWithinPartitions("x", "y")
+    out = met.mapInArrow(_top(k), "i long, j long, sim double")
     rank = F.row_number().over(Window.partitionBy("i").orderBy(F.desc("sim"), "j"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k)
 

@@ -18,14 +18,19 @@ def _path():
     return F.concat(F.lit("/data/"), F.col("source"), F.lit("/"), F.col("lang"), F.lit("/doc_"), F.col("doc_id"), F.lit(".txt"))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; a null text is an empty one."""
+    return table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(base_path, text) of all documents."""
-    return table(spark, sf_dir, "documents").where("text is not null").select(_path().alias("base_path"), "text")
+    return _documents(spark, sf_dir).select(_path().alias("base_path"), "text")
 
 
 def docs_with_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, and a copy in capitals with doubled spaces of every tenth document."""
-    d = table(spark, sf_dir, "documents").where("text is not null")
+    d = _documents(spark, sf_dir)
     copy = d.where("doc_id % 10 = 0").select(F.concat(_path(), F.lit(".copy")).alias("base_path"), F.concat(F.lit(" "), F.replace(F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit(" "), F.lit("  "))).alias("text"))
     return d.select(_path().alias("base_path"), "text").unionByName(copy)
 
@@ -34,7 +39,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(chunk_id, filename, chunk_index, text, token_count) of all documents' overlapping line windows."""
     d = table(spark, sf_dir, "documents").select("doc_id", _path().alias("source_path"), "text")
     made = line_chunks(d, size=SIZE, overlap=OVERLAP)
-    return made.select((F.col("doc_id") * 1000 + F.col("chunk_index")).alias("chunk_id"), "source_path", "filename", "chunk_index", "text", "token_count")
+    return made.select((F.col("doc_id") * 10_000_000 + F.col("chunk_index")).alias("chunk_id"), "source_path", "filename", "chunk_index", "text", "token_count")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from lakeloom.functions.text import STOP_TOKENS, SUFFIX_PATTERN, TITLE_PATTERN
 
-_DOCS = "docs AS (SELECT doc_id, '/data/' || source || '/' || lang || '/doc_' || doc_id || '.txt' AS base_path, text FROM documents WHERE text IS NOT NULL)"
+_DOCS = "docs AS (SELECT doc_id, '/data/' || source || '/' || lang || '/doc_' || doc_id || '.txt' AS base_path, coalesce(text, '') AS text FROM documents)"
 _VARIANTS = f"""{_DOCS}, x AS (SELECT base_path, text FROM docs UNION ALL
   SELECT base_path || '.copy', ' ' || replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), ' ', '  ') FROM docs WHERE doc_id % 10 = 0)"""
 _CHUNKS = f"""{_DOCS}, lines AS (SELECT doc_id, base_path, string_split(text, chr(10)) AS l FROM docs),
 starts AS (SELECT doc_id, base_path, l, unnest(range(0, len(l), 15)) AS i FROM lines),
 windows AS (SELECT doc_id, base_path, i // 15 AS chunk_index, array_to_string(l[i + 1:i + 20], chr(10)) AS text FROM starts),
-chunks AS (SELECT doc_id * 1000 + chunk_index AS chunk_id, base_path AS source_path, base_path || '_' || chunk_index AS filename, CAST(chunk_index AS INT) AS chunk_index, text, length(text) // 4 AS token_count
+chunks AS (SELECT doc_id * 10000000 + chunk_index AS chunk_id, base_path AS source_path, base_path || '_' || chunk_index AS filename, CAST(chunk_index AS INT) AS chunk_index, text, length(text) // 4 AS token_count
   FROM windows WHERE regexp_matches(text, '\\S'))"""
 _ENTITIES = """entities AS (
   SELECT min(p_partkey) AS entity_id, p_name AS name, p_type AS type, min(p_brand) AS description, CAST(min(l_orderkey) AS VARCHAR) AS first_seen_document, list_sort(list(DISTINCT CAST(l_orderkey AS VARCHAR))) AS documents_appeared
@@ -167,10 +167,10 @@ ORACLE_SQL: dict[str, str] = {
     "count_documents": f"WITH {_CHUNKS} SELECT count(DISTINCT source_path) AS documents FROM chunks",
     "split_chunk_key": f"WITH {_CHUNKS} SELECT chunk_id, regexp_extract(filename, '^(.*)_([0-9]+)$', 1) AS base, CAST(regexp_extract(filename, '^(.*)_([0-9]+)$', 2) AS INT) AS idx FROM chunks",
     "page_ref": f"WITH {_CHUNKS} SELECT chunk_id, source_path AS filename, CAST(chunk_index + 1 AS VARCHAR) AS page FROM chunks",
-    "resume_files": f"WITH {_CHUNKS} SELECT base_path AS path, doc_id FROM docs WHERE base_path NOT IN (SELECT source_path FROM chunks WHERE chunk_id % 2000 < 1000)",
+    "resume_files": f"WITH {_CHUNKS} SELECT base_path AS path, doc_id FROM docs WHERE base_path NOT IN (SELECT source_path FROM chunks WHERE chunk_id % 20000000 < 10000000)",
     "delete_by_name": f"WITH {_CHUNKS} SELECT chunk_id, filename FROM chunks WHERE NOT filename ILIKE '%SRC1/en/doc_%'",
     "upsert_documents": f"WITH {_LETTERS} SELECT document_id, sender, CASE WHEN CAST(document_id AS BIGINT) % 3 = 0 THEN 'changed' ELSE subject END AS subject, CAST(CASE WHEN CAST(document_id AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS INT) AS version FROM letters",
-    "decode_latin1": "SELECT doc_id, sha256(regexp_replace(text, '[^\\x00-\\xFF]', '?', 'g')) AS text_sha256 FROM documents WHERE text IS NOT NULL",
+    "decode_latin1": "SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[^\\x00-\\xFF]', '?', 'g')) AS text_sha256 FROM documents",
     "old_schema": f"WITH {_LETTERS} SELECT document_id, CASE WHEN reference = 'P' OR reference IS NULL THEN 'none' ELSE reference END AS reference, '' AS cc FROM letters",
     "exact_hash_groups": f"WITH {_DOCS}, {_hashed('exact', 'docs', 'text')} SELECT * FROM exact",
     "norm_hash_groups": f"WITH {_VARIANTS}, {_groups('x')} SELECT * FROM normalized",
@@ -188,8 +188,14 @@ count(*) AS n_docs, min(pair_count) AS min_pairs, max(pair_count) AS max_pairs F
     "score_pairs": """WITH p AS (SELECT vec_id AS a, CASE WHEN vec_id % 5 <> 4 THEN vec_id + 1 END AS b FROM embeddings)
 SELECT CAST(a AS VARCHAR) AS path_a, coalesce(CAST(b AS VARCHAR), 'none') AS path_b, round(list_dot_product(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])), 6) AS cosine_sim, y.vec_id IS NULL AS skipped
 FROM p JOIN embeddings x ON x.vec_id = a LEFT JOIN embeddings y ON y.vec_id = b""",
-    "truncate_words": """WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL)
+    "truncate_words": """WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))
 SELECT doc_id, sha256(CASE WHEN len(w) > 100 THEN array_to_string(w[1:100], ' ') ELSE text END) AS text_sha256 FROM w""",
+    "embed_duplicates": f"""WITH {_PAIRS}, w AS (SELECT base_path, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w, text FROM docs),
+cut AS (SELECT base_path, lower(CASE WHEN len(w) > 512 THEN array_to_string(w[1:512], ' ') ELSE text END) AS t FROM w),
+vec AS (SELECT base_path, list_transform(string_split('abcdefghijklmnopqrstuvwxyz', ''), lambda c: CAST(length(t) - length(replace(t, c, '')) AS DOUBLE)) AS v FROM cut),
+sims AS (SELECT path_a, path_b, list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) AS sim FROM pairs JOIN vec a ON a.base_path = path_a JOIN vec b ON b.base_path = path_b
+  WHERE list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0)
+SELECT path_a, path_b, round(sim, 4) AS cosine_sim FROM sims WHERE sim >= 0.92""",
     "dedup_manifest": f"WITH RECURSIVE {_MANIFEST} SELECT * FROM manifest",
     "hash_components": f"WITH {_DOCS}, {_hashed('exact', 'docs', 'text')} SELECT base_path AS node, first_path AS component FROM exact",
     "cluster_ids": f"WITH RECURSIVE {_MANIFEST} SELECT base_path, dense_rank() OVER (ORDER BY cluster) - 1 AS cluster_id FROM manifest",
@@ -205,6 +211,9 @@ round(100.0 * count(*) FILTER (NOT is_representative) / count(*), 1) AS reductio
     "entity_fold": f"WITH {_JSON} SELECT * FROM folded",
     "extract_relationships": f"WITH {_JSON} SELECT * FROM rel",
     "processing_log": f"WITH {_JSON} SELECT CAST(chunk_id AS VARCHAR) AS document_id, true AS success, readable FROM parsed",
+    "extraction_failures": f"""WITH {_JSON}, d AS (SELECT chunk_id, chunk_id % 11 = 0 AS failed FROM said)
+SELECT CAST(chunk_id AS VARCHAR) AS document_id, NOT failed AS success, CASE WHEN failed THEN 'ValueError: no reply' END AS error_message, NOT failed AND parsed.readable AS readable,
+  CAST(coalesce(m.n, 0) AS BIGINT) AS n_mentions FROM d JOIN parsed USING (chunk_id) LEFT JOIN (SELECT chunk_id, count(*) AS n FROM mentions WHERE chunk_id % 11 <> 0 GROUP BY chunk_id) m USING (chunk_id)""",
     "resume_docs": "SELECT doc_id AS chunk_id FROM documents WHERE doc_id % 4 IN (0, 1)",
     "extract_stats": f"""WITH {_JSON} SELECT count(*) AS documents, count(DISTINCT CASE WHEN readable THEN source END) AS senders, count(DISTINCT CASE WHEN readable THEN lang || ', ' || source END) AS recipients,
 (SELECT count(*) FROM folded) AS entities, (SELECT count(*) FROM rel) AS relationships FROM parsed""",
@@ -214,8 +223,9 @@ SELECT name, {_key('name')} AS key FROM n""",
     "merged_entities": f"WITH {_MERGED} SELECT entity_id, name, type, description, first_seen_document, sha256(array_to_string(documents_appeared, '|')) AS documents_appeared FROM merged",
     "entity_text": f"""WITH {_ENTITIES} SELECT entity_id, trim(name || ' (' || type || '): ' || coalesce(description, '')) AS entity_text,
 array_to_string(list_sort(list_distinct(list_filter(string_split({_key('name')}, ' '), lambda t: length(t) >= 2 AND NOT list_contains({_STOP}, t)))), ' ') AS tokens FROM entities""",
-    "map_names": f"""WITH {_LETTERS} SELECT document_id, CASE WHEN sender = 'Customer#000000001' THEN 'First Customer' ELSE sender END AS sender, CASE WHEN recipient = 'small ring Inc.' THEN 'small ring' ELSE recipient END AS recipient,
-CAST((sender = 'Customer#000000001')::INT + (recipient = 'small ring Inc.')::INT AS INT) AS n_changed FROM letters""",
+    "map_names": f"""WITH {_LETTERS} SELECT document_id, CASE WHEN old IS NOT NULL THEN canonical ELSE sender END AS sender, CASE WHEN recipient = 'small ring Inc.' THEN 'small ring' ELSE recipient END AS recipient,
+CAST((old IS NOT NULL)::INT + (recipient = 'small ring Inc.')::INT AS INT) AS n_changed
+FROM letters LEFT JOIN (SELECT DISTINCT c_name AS old, 'Customer ' || c_custkey AS canonical FROM customer WHERE c_custkey % 2 = 0) ON old = sender""",
     "token_block_join": f"WITH RECURSIVE {_ENTITIES}, {_blocked('entities')} SELECT * FROM blocked",
     "scored_pairs": f"WITH RECURSIVE {_ENTITIES}, {_blocked('entities')} SELECT * FROM scored",
     "cluster_pairs": f"""WITH RECURSIVE {_MERGED}, {_blocked('merged')}, {_reach('SELECT name_a AS src, name_b AS dst FROM scored WHERE combined >= 0.8')}
@@ -227,6 +237,10 @@ SELECT name, component AS group_key, first_value(name) OVER (PARTITION BY compon
 SELECT (SELECT count(*) FROM entities) AS original_entities, (SELECT count(*) FROM merged) AS final_entities, (SELECT count(*) FROM rels) AS original_relationships, (SELECT n FROM d) AS final_relationships,
 (SELECT count(*) FROM rels WHERE relationship_id % 5 = 0) AS relationships_rewritten, (SELECT count(DISTINCT group_key) FROM members) AS merge_groups, (SELECT count(*) FROM members) AS entities_involved,
 (SELECT count(*) FROM entities) - (SELECT count(*) FROM merged) AS entities_removed, (SELECT count(*) FROM rels) - (SELECT n FROM d) AS relationships_deduped""",
+    "report_stats": f"""WITH RECURSIVE {_MERGED}, {_RELS}, {_blocked('entities')}, d AS (SELECT count(*) AS n FROM (SELECT DISTINCT source, target, type, document_id FROM rels)),
+n AS (SELECT (SELECT count(*) FROM entities) AS e, (SELECT count(*) FROM merged) AS f, (SELECT count(*) FROM rels) AS r, (SELECT n FROM d) AS s, (SELECT count(DISTINCT group_key) FROM members) AS g, (SELECT count(*) FROM members) AS i, (SELECT count(*) FROM scored WHERE combined >= 0.9) AS p)
+SELECT false AS dry_run, 'entities' AS source_db, 'merged' AS output_db, 0.9::DOUBLE AS threshold, e AS original_entities, f AS final_entities, e - f AS entities_removed, r AS original_relationships, s AS final_relationships, 0 AS relationships_rewritten, r - s AS relationships_deduped, p AS candidate_pairs, g AS merge_groups, i AS entities_involved FROM n
+UNION ALL SELECT true, 'entities', 'merged', 0.9, e, e - i + g, i - g, r, r, 0, 0, p, g, i FROM n""",
     "topk_neighbours": f"WITH {_TOPK} SELECT i, j, round(sim, 6) AS sim, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 10",
     "similarity_topk_join": f"WITH {_TOPK} SELECT i, j, round(sim, 4) AS sim FROM ranked WHERE rank <= 10 AND j > i AND sim >= 0.4",
     "cosine_self": "SELECT vec_id, round(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 5) AS norm2 FROM embeddings",

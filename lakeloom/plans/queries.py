@@ -66,7 +66,7 @@ def reassemble_doc(s, d):
 @query
 def resume_files(s, d):
     found = A.table(s, d, "documents").select(A._path().alias("path"), "doc_id")
-    done = A.chunks(s, d).where("chunk_id % 2000 < 1000")
+    done = A.chunks(s, d).where("chunk_id % 20000000 < 10000000")
     return files.resume_files(found, done)
 
 
@@ -85,7 +85,7 @@ def upsert_documents(s, d):
 @query
 def decode_latin1(s, d):
     """Texts whose bytes are Latin-1 for every other document."""
-    doc = A.table(s, d, "documents").where("text is not null").withColumn("ascii", F.regexp_replace("text", r"[^\x00-\xFF]", "?"))
+    doc = A._documents(s, d).withColumn("ascii", F.regexp_replace("text", r"[^\x00-\xFF]", "?"))
     content = F.when(F.col("doc_id") % 2 == 0, F.encode("ascii", "UTF-8")).otherwise(F.encode("ascii", "ISO-8859-1"))
     return doc.select("doc_id", F.sha2(files.decode_text(content).cast("binary"), 256).alias("text_sha256"))
 
@@ -179,9 +179,21 @@ def score_pairs(s, d):
     return scored.select("path_a", "path_b", F.round("cosine_sim", 6).alias("cosine_sim"), "skipped")
 
 
+def _letter_counts(texts: list[str]) -> list[list[float]]:
+    """A stand-in for an embedding model: how often each letter occurs."""
+    return [[float(t.lower().count(c)) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+
+@query
+def embed_duplicates(s, d):
+    """The near-duplicate candidates whose embeddings agree."""
+    found = dedup.embed_duplicates(A.docs(s, d), _pairs(s, d), _letter_counts)
+    return found.select("path_a", "path_b", F.round("cosine_sim", 4).alias("cosine_sim"))
+
+
 @query
 def truncate_words(s, d):
-    return A.table(s, d, "documents").where("text is not null").select("doc_id", F.sha2(T.truncate_words(F.col("text"), 100).cast("binary"), 256).alias("text_sha256"))
+    return A._documents(s, d).select("doc_id", F.sha2(T.truncate_words(F.col("text"), 100).cast("binary"), 256).alias("text_sha256"))
 
 
 # Documents: manifest ----------------------------------------------------
@@ -191,7 +203,7 @@ def _manifest(s, d):
     x = A.docs(s, d)
     groups = materialize(dedup.hash_groups(x), "hash-groups")
     kept = dedup.representatives(x, groups)
-    pairs = materialize(dedup.band_pairs(materialize(dedup.minhash_signatures(kept), "signatures")), "band-pairs")
+    pairs = materialize(dedup.band_links(materialize(dedup.minhash_signatures(kept), "signatures")), "band-links")
     return manifest.dedup_manifest(x, groups, pairs)
 
 
@@ -262,7 +274,22 @@ def extract_relationships(s, d):
 
 @query
 def processing_log(s, d):
-    return extract.processing_log(_parsed(s, d))
+    return extract.processing_log(_parsed(s, d)).drop("error_message")
+
+
+@query
+def extraction_failures(s, d):
+    """The log of a run whose model fails for some documents, and what the others gave."""
+    said = A.replies(s, d).select("chunk_id", F.when(F.col("chunk_id") % 11 == 0, F.lit("fail")).otherwise(F.col("reply")).alias("text"))
+
+    def model(texts: list[str]) -> list[str]:
+        if "fail" in texts:
+            raise ValueError("no reply")
+        return texts
+
+    parsed = materialize(extract.parse_replies(extract.ask(said, model)), "parsed")
+    n = extract.mentions(parsed).groupBy(F.col("chunk_id").cast("string").alias("document_id")).agg(F.count("*").alias("n"))
+    return extract.processing_log(parsed).join(n, "document_id", "left").withColumn("n_mentions", F.coalesce("n", F.lit(0))).drop("n")
 
 
 @query
@@ -307,7 +334,8 @@ def entity_text(s, d):
 @query
 def map_names(s, d):
     """Sender, recipient and so on through the names of the first phase; whole values only."""
-    names = s.createDataFrame([("small ring Inc.", "small ring"), ("Customer#000000001", "First Customer")], "old string, canonical string")
+    customers = A.table(s, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_name").alias("old"), F.concat(F.lit("Customer "), "c_custkey").alias("canonical"))
+    names = customers.union(s.range(1).select(F.lit("small ring Inc."), F.lit("small ring"))).distinct()
     return resolve.map_names(A.letters(s, d), names, ["sender", "recipient"]).select("document_id", "sender", "recipient", "n_changed")
 
 
@@ -359,6 +387,16 @@ def rewrite_stats(s, d):
     return resolve.rewrite_stats(e, merged, r, mapped, resolve.dedup_relationships(mapped), g)
 
 
+@query
+def report_stats(s, d):
+    """The counters of a merge of equal names, as done and as a dry run would tell."""
+    e, r = materialize(A.entities(s, d), "entities"), materialize(A.relationships(s, d), "relationships")
+    g = materialize(resolve.merge_groups(e), "groups")
+    done = resolve.rewrite_stats(e, resolve.merged_entities(e, g), r, r.withColumn("n_changed", F.lit(0)), resolve.dedup_relationships(r), g)
+    pairs = materialize(resolve.scored_pairs(e, 0.9), "scored")
+    return resolve.report_stats(done, "entities", "merged", 0.9, pairs).unionByName(resolve.report_stats(resolve.dry_run_stats(e, r, g), "entities", "merged", 0.9, pairs, dry_run=True))
+
+
 @query
 def topk_neighbours(s, d):
     return resolve.topk_neighbours(A.table(s, d, "embeddings"), 10).select("i", "j", F.round("sim", 6).alias("sim"), F.col("rank").cast("int"))

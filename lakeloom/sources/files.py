@@ -73,16 +73,45 @@ def resume_files(files: DataFrame, chunks: DataFrame, path_col: str = "path") ->
     return files.join(done, path_col, "left_anti")
 
 
-def map_texts(df: DataFrame, text_col: str, out_col: str, model: Callable[[list[str]], list], out_type: str, batch: int = 64) -> DataFrame:
-    """Add a column that a pluggable model computes from texts, in batches; the model is loaded once per task."""
+def map_texts(df: DataFrame, text_col: str, out_col: str, model: Callable[[list[str]], list], out_type: str, batch: int = 64, error_col: str | None = None) -> DataFrame:
+    """Add a column that a pluggable model computes from texts, in batches; the model is loaded once per task.
+
+    With ``error_col`` a failing text does not end the job: its batch is asked again text by text, and the text
+    that fails gets null and the error's type and message.
+    """
+
+    def one(text: str) -> tuple:
+        try:
+            return model([text])[0], None
+        except Exception as e:  # noqa: BLE001 - one bad text must not end the others
+            return None, f"{type(e).__name__}: {e}"
+
+    def many(texts: list[str]) -> list[tuple]:
+        try:
+            return [(v, None) for v in model(texts)]
+        except Exception:
+            if error_col is None:
+                raise
+            return [one(t) for t in texts]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             texts = part[text_col].tolist()
-            part[out_col] = [v for i in range(0, len(texts), batch) for v in model(texts[i : i + batch])]
+            got = [v for i in range(0, len(texts), batch) for v in many(texts[i : i + batch])]
+            part[out_col] = pd.Series([v for v, _ in got], dtype=object, index=part.index)
+            if error_col:
+                part[error_col] = pd.Series([e for _, e in got], dtype=object, index=part.index)
             yield part
 
-    return df.mapInPandas(run, df.withColumn(out_col, F.lit(None).cast(out_type)).schema)
+    out = df.withColumn(out_col, F.lit(None).cast(out_type))
+    return df.mapInPandas(run, (out.withColumn(error_col, F.lit(None).cast("string")) if error_col else out).schema)
+
+
+def embed_texts(df: DataFrame, text_col: str, out_col: str, model: Callable[[list[str]], list[list[float]]], batch: int = 64) -> DataFrame:
+    """Add the texts' embeddings, of length 1; a vector of zeros stays so."""
+    raw = map_texts(df, text_col, "_raw", model, "array<double>", batch)
+    length = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda acc, x: acc + x * x))
+    return raw.withColumn(out_col, F.transform("_raw", lambda x: F.when(length > 0, x / length).otherwise(0.0))).drop("_raw")
 
 
 def probe_model(model: Callable[[list[str]], list]) -> None:
