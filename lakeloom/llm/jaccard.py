@@ -400,11 +400,13 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
     """
     pairs = materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("m"))
-    at = lambda c: degree.select(F.col("node").alias(c), F.col("m").alias(f"m_{c}"))
+    degree, total = materialize(degree, "jaccard-degrees"), pairs.count()
+    at = lambda c: degree.select(F.col("node").alias(c), F.col("m").alias(f"m_{c}"), F.col("m").alias("c"))
     turn = F.col("m_b") > F.col("m_a")
     probe, member = F.when(turn, F.col("b")).otherwise(F.col("a")), F.when(turn, F.col("a")).otherwise(F.col("b"))
     salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / group)).cast("long")
-    salted = materialize(pairs.join(at("a"), "a").join(at("b"), "b").select(probe.alias("a"), member.alias("b"), F.greatest("m_a", "m_b").alias("m")).select("a", salt.alias("salt"), "b"), "jaccard-salted")
+    known = _attached(_attached(pairs, at("a"), ["a"], total), at("b"), ["b"], total)
+    salted = materialize(known.select(probe.alias("a"), member.alias("b"), F.greatest("m_a", "m_b").alias("m")).select("a", salt.alias("salt"), "b"), "jaccard-salted")
     # A member's roles are at most its partners in buckets; a probe's are parted, so no list grows with a group.
     members = salted.select(F.col("b").alias("doc_id"), F.lit(-1).cast("long").alias("part"), F.struct("a", "salt", "b").alias("role"))
     probes = salted.select("a", "salt").distinct().select(F.col("a").alias("doc_id"), F.floor(F.col("salt") / 1024).alias("part"), F.struct("a", "salt", F.lit(None).cast("long").alias("b")).alias("role"))
@@ -413,14 +415,14 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
         roles = F.broadcast(roles)
     sent = docs.join(roles, "doc_id").select("doc_id", "text", "roles").mapInArrow(_send_sets(k), "a long, salt long, b long, tokens binary")
     found = materialize(sent.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
-    discard(pairs, salted)
+    discard(pairs, degree, salted)
     return found
 
 
 def _attached(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
     """An inner join with a table of one row a key and the number ``c`` of its rows among ``total``.
 
-    Keys of more than ``HOT_SHARE`` of the rows, at most as many as its reciprocal, are broadcast, so no task meets all rows of one.
+    Keys of more than ``HOT_SHARE`` of the rows, at most a few times its reciprocal, are broadcast, so no task meets all rows of one.
     """
     often = F.col("c") > max(1, int(HOT_SHARE * total))
     hot, cold = F.broadcast(table.where(often).drop("c")), table.where(~often).drop("c")
