@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import basename, page_ref
+from lakeloom.operators.dedup import _numbered
 from lakeloom.plans.storage import materialize
 
 #: Edges up to which communities are found by Louvain on the driver; beyond, by label propagation in Spark.
 LOUVAIN_EDGES = 200_000
+#: Rows up to which a graph is written as one document for a viewer.
+VIEWER_ROWS = 200_000
 
 
 def chunk_files(chunks: DataFrame) -> DataFrame:
@@ -158,8 +161,9 @@ def communities(node_table: DataFrame, edge_table: DataFrame, rounds: int = 10)
         votes = both.join(labels.withColumnRenamed("name", "b"), "b").groupBy("a", "label").agg(F.sum("weight").alias("w"))
         best = votes.groupBy("a").agg(F.min_by("label", F.struct(-F.col("w"), F.col("label"))).alias("new"))
         labels = materialize(labels.join(best.withColumnRenamed("a", "name"), "name", "left").select("name", F.coalesce("new", "label").alias("label")), "labels")
-    ids = labels.groupBy("label").agg(F.count("*").alias("size")).withColumn("community", F.row_number().over(Window.orderBy(F.desc("size"), "label")) - 1)
-    return labels.join(ids, "label").select("name", "community")
+    sizes = labels.groupBy("label").agg((-F.count("*")).alias("less"))
+    ids = _numbered(sizes, ["less", "label"], "community")
+    return labels.join(ids, "label").select("name", F.col("community").cast("int").alias("community"))
 
 
 def community_summary(node_table: DataFrame, found: DataFrame, top: int = 5) -> DataFrame:
@@ -172,7 +176,7 @@ def community_summary(node_table: DataFrame, found: DataFrame, top: int = 5) ->
 
 def export_json(node_table: DataFrame, edge_table: DataFrame, path: str) -> None:
     """One JSON document of nodes, links and statistics, for graphs that a viewer can load."""
-    if node_table.count() + edge_table.count() > LOUVAIN_EDGES:
+    if node_table.count() + edge_table.count() > VIEWER_ROWS:
         raise ValueError("too large for one document; write the two tables instead")
     load = lambda df: [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"))).collect()]
     out = {"nodes": load(node_table.orderBy("name")), "links": load(edge_table.orderBy("source", "target")), "stats": load(graph_stats(node_table, edge_table))[0]}

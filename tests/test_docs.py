@@ -98,3 +98,22 @@ def test_folders(spark):
     assert explore.auto_skip(stats) == ["a", "b"]
     assert {tuple(r) for r in explore.children(stats, ["a", "b"]).collect()} == {("f.pdf", False, 1, 2, 3), ("g", True, 2, 2, 12)}
     assert explore.children(stats.where(F.lit(False)), []).count() == 0
+
+
+def test_band_links_join_what_band_pairs_join(spark):
+    """One band that many documents share: as many rows as documents, the same components."""
+    base = [7] * dedup.ROWS
+    rows = [(f"d{i:02}", base + [1000 * i + j for j in range(dedup.SLOTS - dedup.ROWS)]) for i in range(40)] + [("x1", list(range(5000, 5128))), ("x2", list(range(5000, 5128))), ("y", list(range(9000, 9128)))]
+    signatures = spark.createDataFrame(rows, "base_path string, signature array<long>")
+    pairs, links = dedup.band_pairs(signatures), dedup.band_links(signatures)
+    assert pairs.count() == 40 * 39 // 2 + 1 and links.count() == 39 + 1
+    sides = lambda df: {x for r in df.collect() for x in (r["path_a"], r["path_b"])}
+    assert sides(pairs) == sides(links)
+
+
+def test_embed_duplicates(spark):
+    docs = spark.createDataFrame([("a", "x x y"), ("b", "x x y y"), ("c", "z"), ("d", None), ("e", "x x y")], "base_path string, text string")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "d"), ("a", "e"), ("a", "gone")], "path_a string, path_b string")
+    model = lambda texts: [[float(t.count(c)) for c in "xyz"] for t in texts]
+    got = {r["path_b"]: round(r["cosine_sim"], 4) for r in dedup.embed_duplicates(docs, pairs, model).collect()}
+    assert got == {"b": round(6 / (5 * 8) ** 0.5, 4), "e": 1.0}

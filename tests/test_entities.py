@@ -1,7 +1,11 @@
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import extract, graph, resolve
+from lakeloom.sources import files
 
 ENTITY = "entity_id long, name string, type string, description string, first_seen_document string, documents_appeared array<string>"
 REL = "relationship_id long, source string, target string, type string, description string, document_id string"
@@ -113,3 +117,44 @@ def test_label_propagation_beyond_the_bound(spark, monkeypatch):
     nodes = edges.select(F.explode(F.array("source", "target")).alias("name")).distinct()
     got = {r["name"]: r["community"] for r in graph.communities(nodes, edges).collect()}
     assert len({v for k, v in got.items() if k[0] == "a"}) == 1 and got["a0"] != got["b0"]
+
+
+def test_frequent_token_is_split(spark, monkeypatch):
+    """A token that all names share: all pairs once, dealt over many tasks, none by one key."""
+    monkeypatch.setattr(resolve, "TOKEN_ROWS", 8)
+    names = [f"shared thing{i % 30} part{i}" for i in range(60)]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    pairs = resolve.token_pairs(df)
+    got = [(r["name_a"], r["name_b"]) for r in pairs.collect()]
+    assert len(got) == len(set(got)) == 60 * 59 // 2 and all(a < b for a, b in got)
+
+
+def test_neighbours_of_equal_vectors(spark, monkeypatch):
+    """Blocks of few rows give what one block gives; ties go to the lesser id."""
+    monkeypatch.setattr(resolve, "BLOCK_ROWS", 7)
+    rng = random.Random(3)
+    vectors = [[1.0, 0.0, 0.0]] * 20 + [[rng.uniform(-1, 1) for _ in range(3)] for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in resolve.topk_neighbours(df, 4).collect():
+        got.setdefault(r["i"], {})[r["rank"]] = (r["j"], r["sim"])
+    for i, v in enumerate(vectors):
+        sims = sorted((-round(sum(x * y for x, y in zip(v, w, strict=True)), 9), j) for j, w in enumerate(vectors) if j != i)[:4]
+        assert [(-round(s, 9), j) for _, (j, s) in sorted(got[i].items())] == sims
+    assert resolve.topk_neighbours(df.limit(0), 4).count() == 0
+
+
+def test_failing_model_leaves_a_log_row(spark):
+    def model(texts):
+        if any("bad" in t for t in texts):
+            raise ValueError("cannot read it")
+        return ['{"entities":[{"name":"a","type":"t"}]}'] * len(texts)
+
+    chunks = spark.createDataFrame([(i, "bad" if i % 4 == 0 else "good") for i in range(12)], "chunk_id long, text string").coalesce(1)
+    parsed = extract.parse_replies(extract.ask(chunks, model))
+    log = {r["document_id"]: (r["success"], r["error_message"]) for r in extract.processing_log(parsed).collect()}
+    assert log == {str(i): (False, "ValueError: cannot read it") if i % 4 == 0 else (True, None) for i in range(12)}
+    assert extract.mentions(parsed).count() == extract.documents(parsed).count() == 9
+    assert {r["chunk_id"] for r in extract.resume_docs(chunks, extract.processing_log(parsed)).collect()} == {0, 4, 8}
+    with pytest.raises(Exception, match="cannot read it"):
+        files.map_texts(chunks, "text", "reply", model, "string").collect()
