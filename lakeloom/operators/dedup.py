@@ -69,7 +69,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = flat[x:y] % PRIME
             low = np.full(SLOTS, PRIME, np.int64)
             for part in np.array_split(h, max(1, len(h) // 4096)):
-                low = np.minimum(low, ((a * part + b) % PRIME).min(axis=1))
+                x = a * part + b
+                for _ in range(2):  # PRIME is 2 ** 31 - 1: the remainder by folding
+                    x = (x & PRIME) + (x >> 31)
+                x[x >= PRIME] -= PRIME
+                low = np.minimum(low, x.min(axis=1))
             out.append(low)
         flat = pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * SLOTS, pa.int32()), flat)
