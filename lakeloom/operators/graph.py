@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections import defaultdict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import basename, page_ref
 from lakeloom.operators.dedup import _numbered
-from lakeloom.plans.storage import materialize
-
-#: Edges up to which communities are found by Louvain on the driver; beyond, by label propagation in Spark.
-LOUVAIN_EDGES = 200_000
-#: Rows up to which a graph is written as one document for a viewer.
-VIEWER_ROWS = 200_000
+from lakeloom.plans.storage import discard, materialize
 
 
 def chunk_files(chunks: DataFrame) -> DataFrame:
@@ -97,75 +91,96 @@ def graph_stats(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
     return n.join(e, "k").drop("k")
 
 
-def louvain(links: list[tuple[str, str, float]], names: list[str]) -> dict[str, int]:
-    """Communities of greatest modularity by moving nodes in the order of their names, then merging, until nothing moves.
+def _coin(c: Column, turn: int) -> Column:
+    """Whether a community waits in this round (others may join it), by a hash of its name and the round."""
+    return F.substring(F.md5(F.concat(F.lit(f"{turn}:"), c).cast("binary")), 1, 1) < "8"
+
+
+def _proposals(links: DataFrame, total: float, turn: int) -> DataFrame:
+    """(tail, head, w, st, sh, gain): each moving community's best waiting neighbour, if joining it raises the modularity."""
+    gain = F.col("w") * total - F.col("sa") * F.col("sb")
+    a_waits = _coin(F.col("a"), turn)
+    live = links.where((gain > 0) & (a_waits != _coin(F.col("b"), turn))).select(
+        F.when(a_waits, F.col("b")).otherwise(F.col("a")).alias("tail"),
+        F.struct(gain.alias("gain"), F.when(a_waits, F.col("a")).otherwise(F.col("b")).alias("head"), "w", F.when(a_waits, F.col("sb")).otherwise(F.col("sa")).alias("st"), F.when(a_waits, F.col("sa")).otherwise(F.col("sb")).alias("sh")).alias("to"),
+    )
+    return live.groupBy("tail").agg(F.max("to").alias("to")).select("tail", "to.*")
+
+
+def _merges(proposals: DataFrame, total: float) -> DataFrame:
+    """(c, into, s): what joins what, and the strength of the whole.
 
-    Numbered by size, then by their least name.
+    Of the tails that ask for one head those join whose gain outweighs half of what they cost each other; the sum of
+    their gains is then positive.  If there are none, the best one joins.
     """
-    of = {n: i for i, n in enumerate(sorted(names))}
-    near: list[dict[int, float]] = [defaultdict(float) for _ in of]
-    for a, b, w in links:
-        near[of[a]][of[b]] += w
-        if a != b:
-            near[of[b]][of[a]] += w
-    member = list(range(len(of)))
-    total = sum(sum(x.values()) + x.get(i, 0.0) for i, x in enumerate(near))
-    while total:
-        strength = [sum(x.values()) + x.get(i, 0.0) for i, x in enumerate(near)]
-        home, weight, moved = list(range(len(near))), list(strength), False
-        again = True
-        while again:
-            again = False
-            for i, x in enumerate(near):
-                to: dict[int, float] = defaultdict(float)
-                for j, w in x.items():
-                    if j != i:
-                        to[home[j]] += w
-                weight[home[i]] -= strength[i]
-                gain = lambda c: to.get(c, 0.0) - strength[i] * weight[c] / total  # noqa: B023, E731
-                best = max([home[i], *sorted(to)], key=lambda c: (round(gain(c), 12), c == home[i], -c))
-                weight[best] += strength[i]
-                if best != home[i]:
-                    home[i], again, moved = best, True, True
-        if not moved:
-            break
-        new = {c: k for k, c in enumerate(sorted(set(home)))}
-        member = [new[home[m]] for m in member]
-        merged: list[dict[int, float]] = [defaultdict(float) for _ in new]
-        for i, x in enumerate(near):
-            for j, w in x.items():
-                a, b = new[home[i]], new[home[j]]
-                if a != b:
-                    merged[a][b] += w
-                elif j >= i:
-                    merged[a][a] += w
-        near = merged
-    groups: dict[int, list[str]] = defaultdict(list)
-    for name, i in of.items():
-        groups[member[i]].append(name)
-    ranked = sorted(groups.values(), key=lambda g: (-len(g), min(g)))
-    return {n: k for k, g in enumerate(ranked) for n in g}
-
-
-def communities(node_table: DataFrame, edge_table: DataFrame, rounds: int = 10) -> DataFrame:
-    """(name, community): Louvain while the edges are few enough for the driver, label propagation beyond."""
-    spark = node_table.sparkSession
-    links = edge_table.select("source", "target", "weight")
-    some = links.limit(LOUVAIN_EDGES + 1).collect()
-    if len(some) <= LOUVAIN_EDGES and node_table.limit(LOUVAIN_EDGES + 1).count() <= LOUVAIN_EDGES:
-        found = louvain([(r["source"], r["target"], float(r["weight"])) for r in some], [r["name"] for r in node_table.select("name").collect()])
-        return spark.createDataFrame(sorted(found.items()), "name string, community int")
-    both = links.select(F.col("source").alias("a"), F.col("target").alias("b"), "weight").union(links.select("target", "source", "weight")).where("a <> b")
-    labels = node_table.select("name", F.col("name").alias("label"))
-    for _ in range(rounds):
-        votes = both.join(labels.withColumnRenamed("name", "b"), "b").groupBy("a", "label").agg(F.sum("weight").alias("w"))
-        best = votes.groupBy("a").agg(F.min_by("label", F.struct(-F.col("w"), F.col("label"))).alias("new"))
-        labels = materialize(labels.join(best.withColumnRenamed("a", "name"), "name", "left").select("name", F.coalesce("new", "label").alias("label")), "labels")
-    sizes = labels.groupBy("label").agg((-F.count("*")).alias("less"))
-    ids = _numbered(sizes, ["less", "label"], "community")
+    asked = proposals.groupBy("head").agg(F.sum("st").alias("others"), F.max(F.struct("gain", "tail")).alias("best"))
+    fits = F.col("w") * total > F.col("st") * (F.col("sh") + (F.col("others") - F.col("st")) / 2)
+    judged = proposals.join(asked, "head").select("tail", "head", "st", "sh", fits.alias("fits"), (F.col("tail") == F.col("best.tail")).alias("best"))
+    some = judged.groupBy("head").agg(F.max("fits").alias("some"))
+    joined = judged.join(some, "head").where("fits or (best and not some)")
+    whole = joined.groupBy("head").agg((F.sum("st") + F.max("sh")).alias("s"))
+    tails = joined.join(whole, "head").select(F.col("tail").alias("c"), F.col("head").alias("into"), "s")
+    return tails.unionByName(whole.select(F.col("head").alias("c"), F.col("head").alias("into"), "s"))
+
+
+def _contracted(links: DataFrame, merges: DataFrame) -> DataFrame:
+    """The links between the communities after the merges."""
+    for side in ("a", "b"):
+        to = merges.select(F.col("c").alias(side), F.col("into").alias("_into"), F.col("s").alias("_s"))
+        links = links.join(to, side, "left").withColumns({side: F.coalesce("_into", side), f"s{side}": F.coalesce("_s", f"s{side}")}).drop("_into", "_s")
+    turned = F.col("a") > F.col("b")
+    pick = lambda x, y: F.when(turned, F.col(y)).otherwise(F.col(x))
+    links = links.where("a <> b").select(pick("a", "b").alias("a"), pick("b", "a").alias("b"), pick("sa", "sb").alias("sa"), pick("sb", "sa").alias("sb"), "w")
+    return links.groupBy("a", "b").agg(F.sum("w").alias("w"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+
+
+def communities(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
+    """(name, community) by rounds of merges, each of which raises the modularity, until no two linked communities gain by merging.
+
+    In a round a hash says of each community whether it waits or moves; a moving one asks its best waiting neighbour
+    (largest gain, then largest name).  All steps are joins and sums that combine before the shuffle; only the total weight and
+    whether anything is left to merge reach the driver, and the same steps run at every size.
+    Communities are numbered by size, then by their least name; a node without links is one of its own.
+    """
+    labels = node_table.select("name", F.col("name").alias("label")).distinct()
+    strength = degrees(edge_table).select("name", F.col("connections").cast("double").alias("s"))
+    total = strength.agg(F.coalesce(F.sum("s"), F.lit(0.0)).alias("t")).first()["t"]
+    first = edge_table.where("source <> target").select(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b"), F.col("weight").cast("double").alias("w"))
+    first = first.groupBy("a", "b").agg(F.sum("w").alias("w"))
+    for side in ("a", "b"):
+        first = first.join(strength.select(F.col("name").alias(side), F.col("s").alias(f"s{side}")), side)
+    links, turn = materialize(first, "links"), 0
+    while not links.where(F.col("w") * total > F.col("sa") * F.col("sb")).isEmpty():
+        asked = materialize(_proposals(links, total, turn), "proposals")
+        turn += 1
+        if asked.isEmpty():  # all that could gain are on one side of the coin
+            discard(asked)
+            continue
+        merges = materialize(_merges(asked, total), "merges")
+        before = links
+        links = materialize(_contracted(links, merges), "links")
+        old = labels
+        moved = labels.join(merges.select(F.col("c").alias("label"), "into"), "label", "left")
+        labels = materialize(moved.select("name", F.coalesce("into", "label").alias("label")), "labels")
+        discard(asked, merges, before, old)
+    discard(links)
+    sizes = labels.groupBy("label").agg((-F.count("*")).alias("less"), F.min("name").alias("least"))
+    ids = _numbered(sizes, ["less", "least"], "community")
     return labels.join(ids, "label").select("name", F.col("community").cast("int").alias("community"))
 
 
+def modularity(edge_table: DataFrame, found: DataFrame) -> DataFrame:
+    """(modularity): the weight inside communities over all, less what their strengths would give by chance; null without weight."""
+    total = degrees(edge_table).agg(F.sum("connections").cast("double").alias("total"))
+    at = degrees(edge_table).join(found, "name").groupBy("community").agg(F.sum("connections").cast("double").alias("s"))
+    ends = edge_table.join(found.select(F.col("name").alias("source"), F.col("community").alias("x")), "source").join(found.select(F.col("name").alias("target"), F.col("community").alias("y")), "target")
+    inside = ends.where("x = y").agg(F.coalesce(F.sum(F.col("weight").cast("double")) * 2, F.lit(0.0)).alias("inside"))
+    one = inside.withColumn("k", F.lit(1))
+    for part in (total, at.agg(F.sum(F.col("s") * F.col("s")).alias("squares"))):
+        one = one.join(part.withColumn("k", F.lit(1)), "k")
+    return one.select((F.col("inside") / F.col("total") - F.col("squares") / (F.col("total") * F.col("total"))).alias("modularity"))
+
+
 def community_summary(node_table: DataFrame, found: DataFrame, top: int = 5) -> DataFrame:
     """(community, size, top_entities): the members with most connections."""
     m = node_table.select("name", "connections").join(found, "name")
@@ -174,12 +189,29 @@ def community_summary(node_table: DataFrame, found: DataFrame, top: int = 5) ->
     return m.groupBy("community").agg(F.count("*").alias("size")).join(first, "community")
 
 
+def top_communities(summary: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` largest communities; ties to the lesser number."""
+    return summary.orderBy(F.desc("size"), "community").limit(n)
+
+
+def export_tables(node_table: DataFrame, edge_table: DataFrame, path: str) -> None:
+    """The graph as three folders of JSON lines in any store that Spark writes: nodes, links and stats."""
+    for name, df in (("nodes", node_table), ("links", edge_table), ("stats", graph_stats(node_table, edge_table))):
+        df.write.mode("errorifexists").json(f"{path.rstrip('/')}/{name}")
+
+
 def export_json(node_table: DataFrame, edge_table: DataFrame, path: str) -> None:
-    """One JSON document of nodes, links and statistics, for graphs that a viewer can load."""
-    if node_table.count() + edge_table.count() > VIEWER_ROWS:
-        raise ValueError("too large for one document; write the two tables instead")
-    load = lambda df: [json.loads(r[0]) for r in df.select(F.to_json(F.struct("*"))).collect()]
-    out = {"nodes": load(node_table.orderBy("name")), "links": load(edge_table.orderBy("source", "target")), "stats": load(graph_stats(node_table, edge_table))[0]}
-    out["stats"]["type_counts"] = {r["entity_type"]: r["n"] for r in type_counts(node_table).orderBy(F.desc("n"), "entity_type").collect()}
+    """One JSON document of nodes, links and statistics for a viewer, in a file of the driver.
+
+    Rows pass the driver one partition at a time, so its memory does not grow with the graph.
+    """
+    stats = json.loads(graph_stats(node_table, edge_table).select(F.to_json(F.struct("*"))).first()[0])
+    stats["type_counts"] = {r["entity_type"]: r["n"] for r in type_counts(node_table).orderBy(F.desc("n"), "entity_type").collect()}
     with open(path, "w", encoding="utf-8") as f:
-        json.dump(out, f, ensure_ascii=False)
+        f.write("{")
+        for key, df in (("nodes", node_table.orderBy("name")), ("links", edge_table.orderBy("source", "target"))):
+            f.write(f'"{key}": [')
+            for i, r in enumerate(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()):
+                f.write((", " if i else "") + r[0])
+            f.write("], ")
+        f.write(f'"stats": {json.dumps(stats, ensure_ascii=False)}}}')

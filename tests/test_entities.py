@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -102,21 +103,84 @@ def modularity(links, of):
     return inside / total - sum((s / 2 / total) ** 2 for s in strength.values())
 
 
-def test_louvain_finds_cliques(spark):
-    links = [(f"{c}{i}", f"{c}{j}", 1.0) for c in "abc" for i in range(5) for j in range(i)] + [("a0", "b0", 1.0), ("b1", "c0", 1.0)]
+def merged_by_hand(links, names):
+    """The rounds of merges with dictionaries; (community of each name, modularity after each round)."""
+    strength, total = {n: 0.0 for n in names}, sum(2.0 * w for _, _, w in links)
+    for a, b, w in links:
+        strength[a] += w
+        strength[b] += w
+    of, turn, seen = {n: n for n in names}, 0, []
+    while True:
+        between, s = {}, {}
+        for n in names:
+            s[of[n]] = s.get(of[n], 0) + strength[n]
+        for a, b, w in links:
+            if of[a] != of[b]:
+                for x, y in ((of[a], of[b]), (of[b], of[a])):
+                    between[x, y] = between.get((x, y), 0) + w
+        gain = {(x, y): w * total - s[x] * s[y] for (x, y), w in between.items()}
+        if not any(g > 0 for g in gain.values()):
+            return of, seen
+        waits = {c: hashlib.md5(f"{turn}:{c}".encode()).hexdigest()[0] < "8" for c in s}
+        best = {}
+        for (x, y), g in gain.items():
+            if g > 0 and not waits[x] and waits[y]:
+                best[x] = max(best.get(x, (g, y)), (g, y))
+        into = {}
+        for head in {y for _, y in best.values()}:
+            tails = [x for x, (_, y) in best.items() if y == head]
+            others = sum(s[x] for x in tails)
+            fits = [x for x in tails if between[x, head] * total > s[x] * (s[head] + (others - s[x]) / 2)]
+            into |= {x: head for x in fits or [max(tails, key=lambda x: (best[x][0], x))]}
+        of = {n: into.get(c, c) for n, c in of.items()}
+        turn += 1
+        seen.append(modularity(links, of))
+
+
+def numbered(of):
+    groups = {}
+    for n, c in of.items():
+        groups.setdefault(c, []).append(n)
+    return {n: k for k, g in enumerate(sorted(groups.values(), key=lambda g: (-len(g), min(g)))) for n in g}
+
+
+def found_communities(spark, links, names):
+    edges = spark.createDataFrame([(a, b, int(w)) for a, b, w in links], "source string, target string, weight long")
+    nodes = spark.createDataFrame([(n,) for n in names], "name string")
+    found = graph.communities(nodes, edges)
+    got = {r["name"]: r["community"] for r in found.collect()}
+    if links:
+        assert graph.modularity(edges, found).first()["modularity"] == pytest.approx(modularity(links, got))
+    return got
+
+
+def test_communities_of_cliques(spark):
+    links = [(f"{c}{i}", f"{c}{j}", 1) for c in "abc" for i in range(5) for j in range(i)] + [("a0", "b0", 1), ("b1", "c0", 1)]
     names = sorted({x for a, b, _ in links for x in (a, b)} | {"alone"})
-    of = graph.louvain(links, names)
-    assert len({of[n] for n in names}) == 4 and all(of[f"{c}{i}"] == of[f"{c}0"] for c in "abc" for i in range(5))
-    assert modularity(links, of) > 0.5
-
-
-def test_label_propagation_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(graph, "LOUVAIN_EDGES", 3)
-    rows = [(f"{c}{i}", f"{c}{j}", 1) for c in "ab" for i in range(4) for j in range(i)]
-    edges = spark.createDataFrame(rows, "source string, target string, weight long")
-    nodes = edges.select(F.explode(F.array("source", "target")).alias("name")).distinct()
-    got = {r["name"]: r["community"] for r in graph.communities(nodes, edges).collect()}
-    assert len({v for k, v in got.items() if k[0] == "a"}) == 1 and got["a0"] != got["b0"]
+    got = found_communities(spark, links, names)
+    assert len(set(got.values())) == 4 and all(got[f"{c}{i}"] == got[f"{c}0"] for c in "abc" for i in range(5))
+    assert found_communities(spark, [], ["x", "y"]) == {"x": 0, "y": 1}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_communities_against_plain_rounds(spark, seed):
+    """Planted groups, a hub, loops: the same labels as by hand, a modularity that only rises and is near the planted one."""
+    rng = random.Random(seed)
+    names = [f"n{i:02}" for i in range(60)]
+    links = [(a, b, rng.randint(1, 3)) for i, a in enumerate(names) for b in names[:i] if rng.random() < (0.5 if int(a[1:]) % 4 == int(b[1:]) % 4 else 0.03)]
+    links += [("n00", n, 1) for n in names[1::7] if ("n00", n) not in {(a, b) for a, b, _ in links} and (n, "n00") not in {(a, b) for a, b, _ in links}] + [("n05", "n05", 2)]
+    got = found_communities(spark, links, names)
+    want, rises = merged_by_hand(links, names)
+    assert got == numbered(want) and rises == sorted(rises)
+    planted = modularity(links, {n: int(n[1:]) % 4 for n in names})
+    assert rises[-1] > 0.8 * planted
+
+
+def test_communities_of_a_star(spark):
+    """A hub with many leaves ends after a few rounds."""
+    links = [("hub", f"leaf{i}", 1) for i in range(200)]
+    names = ["hub"] + [f"leaf{i}" for i in range(200)]
+    assert found_communities(spark, links, names) == numbered(merged_by_hand(links, names)[0])
 
 
 def test_frequent_token_is_split(spark, monkeypatch):
