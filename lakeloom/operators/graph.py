@@ -97,27 +97,26 @@ def _coin(c: Column, turn: int) -> Column:
 
 
 def _proposals(links: DataFrame, total: float, turn: int) -> DataFrame:
-    """(tail, head, w, st, sh, gain): each moving community's best waiting neighbour, if joining it raises the modularity."""
+    """(tail, head, st, sh, gain): each moving community's best waiting neighbour, if joining it raises the modularity."""
     gain = F.col("w") * total - F.col("sa") * F.col("sb")
     a_waits = _coin(F.col("a"), turn)
     live = links.where((gain > 0) & (a_waits != _coin(F.col("b"), turn))).select(
         F.when(a_waits, F.col("b")).otherwise(F.col("a")).alias("tail"),
-        F.struct(gain.alias("gain"), F.when(a_waits, F.col("a")).otherwise(F.col("b")).alias("head"), "w", F.when(a_waits, F.col("sb")).otherwise(F.col("sa")).alias("st"), F.when(a_waits, F.col("sa")).otherwise(F.col("sb")).alias("sh")).alias("to"),
+        F.struct(gain.alias("gain"), F.when(a_waits, F.col("a")).otherwise(F.col("b")).alias("head"), F.when(a_waits, F.col("sb")).otherwise(F.col("sa")).alias("st"), F.when(a_waits, F.col("sa")).otherwise(F.col("sb")).alias("sh")).alias("to"),
     )
     return live.groupBy("tail").agg(F.max("to").alias("to")).select("tail", "to.*")
 
 
-def _merges(proposals: DataFrame, total: float) -> DataFrame:
+def _merges(proposals: DataFrame) -> DataFrame:
     """(c, into, s): what joins what, and the strength of the whole.
 
     Of the tails that ask for one head those join whose gain outweighs half of what they cost each other; the sum of
-    their gains is then positive.  If there are none, the best one joins.
+    their gains is then positive.  The one that comes nearest to that joins even if none does; it would be among them otherwise.
     """
-    asked = proposals.groupBy("head").agg(F.sum("st").alias("others"), F.max(F.struct("gain", "tail")).alias("best"))
-    fits = F.col("w") * total > F.col("st") * (F.col("sh") + (F.col("others") - F.col("st")) / 2)
-    judged = proposals.join(asked, "head").select("tail", "head", "st", "sh", fits.alias("fits"), (F.col("tail") == F.col("best.tail")).alias("best"))
-    some = judged.groupBy("head").agg(F.max("fits").alias("some"))
-    joined = judged.join(some, "head").where("fits or (best and not some)")
+    strength, cost = F.col("st"), F.col("others") - F.col("st")
+    asked = proposals.groupBy("head").agg(F.sum("st").alias("others"), F.max(F.struct(F.col("gain") / strength + strength / 2, "tail")).alias("best"))
+    fits = (F.col("gain") > strength * cost / 2) | (F.col("tail") == F.col("best.tail"))
+    joined = proposals.join(asked, "head").where(fits).select("tail", "head", "st", "sh")
     whole = joined.groupBy("head").agg((F.sum("st") + F.max("sh")).alias("s"))
     tails = joined.join(whole, "head").select(F.col("tail").alias("c"), F.col("head").alias("into"), "s")
     return tails.unionByName(whole.select(F.col("head").alias("c"), F.col("head").alias("into"), "s"))
@@ -134,6 +133,13 @@ def _contracted(links: DataFrame, merges: DataFrame) -> DataFrame:
     return links.groupBy("a", "b").agg(F.sum("w").alias("w"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
 
 
+def _relabelled(labels: DataFrame, steps: list[DataFrame]) -> DataFrame:
+    """(name, label) after some rounds of merges."""
+    for merges in steps:
+        labels = labels.join(merges.select(F.col("c").alias("label"), "into"), "label", "left").select("name", F.coalesce("into", "label").alias("label"))
+    return labels
+
+
 def communities(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
     """(name, community) by rounds of merges, each of which raises the modularity, until no two linked communities gain by merging.
 
@@ -149,21 +155,25 @@ def communities(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
     first = first.groupBy("a", "b").agg(F.sum("w").alias("w"))
     for side in ("a", "b"):
         first = first.join(strength.select(F.col("name").alias(side), F.col("s").alias(f"s{side}")), side)
-    links, turn = materialize(first, "links"), 0
-    while not links.where(F.col("w") * total > F.col("sa") * F.col("sb")).isEmpty():
+    links, turn, steps = materialize(first, "links"), 0, []
+    while True:
         asked = materialize(_proposals(links, total, turn), "proposals")
         turn += 1
-        if asked.isEmpty():  # all that could gain are on one side of the coin
+        if asked.isEmpty():
             discard(asked)
-            continue
-        merges = materialize(_merges(asked, total), "merges")
+            if links.where(F.col("w") * total > F.col("sa") * F.col("sb")).isEmpty():
+                break
+            continue  # all that could gain are on one side of the coin
+        steps.append(materialize(_merges(asked), "merges"))
         before = links
-        links = materialize(_contracted(links, merges), "links")
-        old = labels
-        moved = labels.join(merges.select(F.col("c").alias("label"), "into"), "label", "left")
-        labels = materialize(moved.select("name", F.coalesce("into", "label").alias("label")), "labels")
-        discard(asked, merges, before, old)
+        links = materialize(_contracted(links, steps[-1]), "links")
+        discard(asked, before)
+        if len(steps) == 8:
+            old, labels, steps = (labels, *steps), materialize(_relabelled(labels, steps), "labels"), []
+            discard(*old)
     discard(links)
+    labels = materialize(_relabelled(labels, steps), "labels")
+    discard(*steps)
     sizes = labels.groupBy("label").agg((-F.count("*")).alias("less"), F.min("name").alias("least"))
     ids = _numbered(sizes, ["less", "least"], "community")
     return labels.join(ids, "label").select("name", F.col("community").cast("int").alias("community"))

@@ -470,13 +470,14 @@ def graph_stats(s, d):
 
 @query
 def louvain(s, d):
-    return graph.communities(_nodes(s, d).select("name"), _edges(s, d))
+    return graph.communities(_nodes(s, d).select("name"), materialize(_edges(s, d), "edges"))
 
 
 @query
 def community_summary(s, d):
-    n = materialize(graph.with_degrees(_nodes(s, d), _edges(s, d)), "nodes")
-    return graph.community_summary(n, graph.communities(n.select("name"), _edges(s, d))).withColumn("top_entities", _listed("top_entities"))
+    e = materialize(_edges(s, d), "edges")
+    n = materialize(graph.with_degrees(_nodes(s, d), e), "nodes")
+    return graph.community_summary(n, graph.communities(n.select("name"), e)).withColumn("top_entities", _listed("top_entities"))
 
 
 # Folders ----------------------------------------------------------------

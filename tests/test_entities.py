@@ -130,8 +130,8 @@ def merged_by_hand(links, names):
         for head in {y for _, y in best.values()}:
             tails = [x for x, (_, y) in best.items() if y == head]
             others = sum(s[x] for x in tails)
-            fits = [x for x in tails if between[x, head] * total > s[x] * (s[head] + (others - s[x]) / 2)]
-            into |= {x: head for x in fits or [max(tails, key=lambda x: (best[x][0], x))]}
+            fits = [x for x in tails if best[x][0] > s[x] * (others - s[x]) / 2]
+            into |= {x: head for x in [*fits, max(tails, key=lambda x: (best[x][0] / s[x] + s[x] / 2, x))]}
         of = {n: into.get(c, c) for n, c in of.items()}
         turn += 1
         seen.append(modularity(links, of))
