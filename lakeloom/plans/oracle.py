@@ -161,7 +161,26 @@ def _children(depth: int, where: str = "true") -> str:
 FROM stats WHERE len(string_split(path, '/')) > {depth} AND {where} GROUP BY 1"""
 
 
+_BREAK = "\\r\\n|[\\n\\x0b\\x0c\\r\\x{85}\\x{2028}\\x{2029}]"
+
+
+def _split(text: str) -> str:
+    """Lines of a text; one line break at its end makes no line."""
+    return f"(CASE WHEN {text} = '' THEN [] ELSE regexp_split_to_array(regexp_replace({text}, '({_BREAK})$', ''), '{_BREAK}') END)"
+
+
+#: A fold over the chunks of each document, as a recursion over their number.
+_FOLD = f"""WITH RECURSIVE {_CHUNKS},
+listed AS (SELECT source_path AS base_path, list(text ORDER BY chunk_index) AS c FROM chunks GROUP BY source_path),
+fold(base_path, c, i, acc) AS (
+  SELECT base_path, c, 1, {_split('c[1]')} FROM listed
+  UNION ALL SELECT base_path, c, i + 1, acc || l[coalesce(list_max(list_filter(range(1, least(len(acc), len(l), 100) + 1), lambda n: acc[len(acc) - n + 1:] = l[1:n])), 0) + 1:]
+  FROM (SELECT *, {_split('c[i + 1]')} AS l FROM fold WHERE i < len(c))),
+whole AS (SELECT base_path, CASE WHEN len(c) = 1 THEN c[1] ELSE array_to_string(acc, chr(10)) END AS text FROM fold WHERE i = len(c))"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "reassemble_doc": f"{_FOLD} SELECT base_path, length(text) AS n_chars, sha256(text) AS text_sha256 FROM whole",
     "line_chunks": f"WITH {_CHUNKS} SELECT chunk_id, filename, chunk_index, sha256(text) AS text_sha256, token_count FROM chunks",
     "chunk_stats": f"WITH {_CHUNKS} SELECT count(*) AS total_chunks, count(DISTINCT filename) AS unique_files, coalesce(round(avg(token_count), 2), 0) AS avg_tokens, CAST(coalesce(sum(token_count), 0) AS BIGINT) AS total_tokens FROM chunks",
     "count_documents": f"WITH {_CHUNKS} SELECT count(DISTINCT source_path) AS documents FROM chunks",
