@@ -16,7 +16,7 @@ from lakeloom.llm.quality import host_quality
 from lakeloom.llm.secrets import scan_secrets
 from lakeloom.llm.shards import balanced_shards
 from lakeloom.llm.spans import drop_repeated_spans
-from lakeloom.llm.sql import CHAT_SQL, CONTAIN_SQL, JACCARD_SQL, QUALITY_SQL
+from lakeloom.llm.sql import CHAT_SQL, CONTAIN_SQL, JACCARD_SQL, QUALITY_SQL, SPANS_SQL
 from lakeloom.llm.toxicity import toxicity_scores
 
 
@@ -118,4 +118,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_gumbel_segmentations": op10_gumbel_segmentations,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_minhash_containment": CONTAIN_SQL, "op5_chat_round_trip": CHAT_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_minhash_containment": CONTAIN_SQL, "op5_chat_round_trip": CHAT_SQL, "op6_sentence_spans": SPANS_SQL, "op7_host_rules": QUALITY_SQL, "op9_prefix_tree_join": JACCARD_SQL}

@@ -71,3 +71,24 @@ n AS (SELECT id, count(*) AS n FROM s WHERE NOT doc GROUP BY id),
 pairs AS (SELECT a.id AS doc_id, b.id AS item_id, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc AND NOT b.doc GROUP BY ALL)
 SELECT doc_id, item_id, n AS n_item_shingles, c AS n_shared, c / n AS containment FROM pairs JOIN n ON item_id = n.id WHERE 10 * c >= 8 * n
 """
+
+#: Sentences keep the white space after them; U+E000 marks where one begins.
+SPANS_SQL = r"""
+WITH d AS (SELECT doc_id, text, regexp_extract(coalesce(text, ''), '^[\x20\x09-\x0D]*') AS lead FROM documents),
+p AS (
+  SELECT doc_id, text, lead, list_filter(string_split(regexp_replace(substr(coalesce(text, ''), length(lead) + 1),
+    '([.!?][\x20\x09-\x0D]+|[\x20\x09\x0B-\x0D]*\x0A[\x20\x09-\x0D]*)', '\1' || chr(57344), 'g'), chr(57344)), lambda x: x <> '') AS p FROM d),
+w AS (
+  SELECT doc_id, list_transform(p, lambda x: array_to_string(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ')) AS s,
+    list_transform(p, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS n FROM p WHERE doc_id IS NOT NULL),
+places AS (SELECT doc_id, s, n, i, unnest(range(1, least(10, len(s) - i + 1) + 1)) AS k FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM w)),
+sized AS (SELECT doc_id, s, i, k, list_sum(n[i:i + k - 1]) AS words, n[i] AS first_words, n[i + k - 1] AS last_words FROM places),
+runs AS (
+  SELECT doc_id, i, k, array_to_string(s[i:i + k - 1], chr(10)) AS g FROM sized
+  WHERE (k = 1 AND words >= 32) OR (k = 2 AND words >= 20) OR (k = 3 AND words >= 10) OR (k > 3 AND words >= 10 AND (words - last_words < 10 OR words - first_words < 10))),
+later AS (SELECT doc_id, i, k FROM (SELECT *, dense_rank() OVER (PARTITION BY k, g ORDER BY doc_id, i) AS nth FROM runs) WHERE nth > 1),
+gone AS (SELECT doc_id, list(DISTINCT place) AS gone FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM later) GROUP BY doc_id)
+SELECT p.doc_id, len(p.p) AS n_sentences, coalesce(len(gone), 0) AS n_removed,
+  CASE WHEN gone IS NULL THEN text ELSE lead || array_to_string(list_filter(p.p, lambda x, i: NOT list_contains(gone, i)), '') END AS text
+FROM p LEFT JOIN gone USING (doc_id)
+"""
