@@ -13,7 +13,17 @@ from lakeloom.plans.storage import discard, materialize
 
 
 def chunk_files(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, filename, page) of the chunks' own files."""
+    """(chunk_id, filename, page) of the chunks' own files.
+
+    Tables of the older generation have a chapter and a position in place of a file name, or neither.
+    """
+    if "filename" not in chunks.columns:
+        key = F.col("chunk_id").cast("string")
+        if "chapter" not in chunks.columns:
+            return chunks.select(key.alias("chunk_id"), F.concat(F.lit("Chunk "), key).alias("filename"), F.lit("?").alias("page"))
+        page = (F.col("chunk_index") + 1).cast("string") if "chunk_index" in chunks.columns else F.lit(None).cast("string")
+        chapter = F.concat(F.lit("Chapter "), F.coalesce(F.col("chapter").cast("string"), F.lit("?")))
+        return chunks.select(key.alias("chunk_id"), chapter.alias("filename"), F.coalesce(page, F.lit("?")).alias("page"))
     return chunks.select(F.col("chunk_id").cast("string").alias("chunk_id"), page_ref(F.col("filename")).alias("p")).select("chunk_id", "p.filename", "p.page")
 
 

@@ -151,6 +151,16 @@ def report_groups(groups: DataFrame) -> DataFrame:
     return groups.groupBy("group_key", "canonical").agg(F.count("*").alias("member_count"), members.alias("members")).drop("group_key")
 
 
+def merge_samples(groups: DataFrame, n: int = 10, members: int = 5) -> DataFrame:
+    """(canonical, member_count, others): the ``n`` largest groups with the first other names of each, by rank."""
+    order = [F.desc("member_count"), "canonical", "group_key"]
+    top = groups.groupBy("group_key", "canonical").agg(F.count("*").alias("member_count")).orderBy(*order).limit(n)
+    rank = F.row_number().over(Window.partitionBy("group_key").orderBy("rank"))
+    some = groups.where("name <> canonical").select("group_key", "rank", "name").join(top.select("group_key"), "group_key", "left_semi").withColumn("nth", rank).where(F.col("nth") <= members)
+    listed = some.groupBy("group_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "name"))), lambda x: x["name"]).alias("others"))
+    return top.join(listed, "group_key", "left").orderBy(*order).select("canonical", "member_count", F.coalesce("others", F.array().cast("array<string>")).alias("others"))
+
+
 def report_pairs(pairs: DataFrame, n: int = 500) -> DataFrame:
     return pairs.orderBy(F.desc("combined"), "name_a", "name_b").limit(n)
 

@@ -187,6 +187,9 @@ ORACLE_SQL: dict[str, str] = {
     "split_chunk_key": f"WITH {_CHUNKS} SELECT chunk_id, regexp_extract(filename, '^(.*)_([0-9]+)$', 1) AS base, CAST(regexp_extract(filename, '^(.*)_([0-9]+)$', 2) AS INT) AS idx FROM chunks",
     "page_ref": f"WITH {_CHUNKS} SELECT chunk_id, source_path AS filename, CAST(chunk_index + 1 AS VARCHAR) AS page FROM chunks",
     "resume_files": f"WITH {_CHUNKS} SELECT base_path AS path, doc_id FROM docs WHERE base_path NOT IN (SELECT source_path FROM chunks WHERE chunk_id % 20000000 < 10000000)",
+    "delete_like_counts": f"WITH {_CHUNKS} SELECT count(*) AS n_before, count(*) FILTER (filename ILIKE '%SRC1/en/doc_%') AS n_deleted, count(*) FILTER (NOT filename ILIKE '%SRC1/en/doc_%') AS n_after FROM chunks",
+    "chapter_files": """SELECT CAST(o_orderkey AS VARCHAR) AS chunk_id, 'Chapter ' || CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 50 AS VARCHAR) ELSE '?' END AS filename,
+CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderkey % 7 + 1 AS VARCHAR) ELSE '?' END AS page FROM orders""",
     "delete_by_name": f"WITH {_CHUNKS} SELECT chunk_id, filename FROM chunks WHERE NOT filename ILIKE '%SRC1/en/doc_%'",
     "upsert_documents": f"WITH {_LETTERS} SELECT document_id, sender, CASE WHEN CAST(document_id AS BIGINT) % 3 = 0 THEN 'changed' ELSE subject END AS subject, CAST(CASE WHEN CAST(document_id AS BIGINT) % 3 = 0 THEN 2 ELSE 1 END AS INT) AS version FROM letters",
     "decode_latin1": "SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[^\\x00-\\xFF]', '?', 'g')) AS text_sha256 FROM documents",
@@ -250,6 +253,9 @@ FROM letters LEFT JOIN (SELECT DISTINCT c_name AS old, 'Customer ' || c_custkey
     "cluster_pairs": f"""WITH RECURSIVE {_MERGED}, {_blocked('merged')}, {_reach('SELECT name_a AS src, name_b AS dst FROM scored WHERE combined >= 0.8')}
 SELECT name, component AS group_key, first_value(name) OVER (PARTITION BY component ORDER BY len(documents_appeared) DESC, length(name) DESC, entity_id) AS canonical FROM merged JOIN found ON node = name""",
     "report_pairs": f"WITH RECURSIVE {_ENTITIES}, {_blocked('entities')} SELECT * FROM scored WHERE combined >= 0.5 ORDER BY combined DESC, name_a, name_b LIMIT 500",
+    "merge_samples": f"""WITH {_MERGE}, top AS (SELECT group_key, canonical, count(*) AS member_count FROM members GROUP BY ALL ORDER BY 3 DESC, 2, 1 LIMIT 10),
+others AS (SELECT group_key, list(name ORDER BY rank) AS o FROM members WHERE name <> canonical GROUP BY group_key)
+SELECT canonical, member_count, coalesce(array_to_string(o[1:5], '|'), '') AS others FROM top LEFT JOIN others USING (group_key)""",
     "report_groups": f"WITH {_MERGE} SELECT canonical, count(*) AS member_count, string_agg(name, '|' ORDER BY rank) AS members FROM members GROUP BY group_key, canonical",
     "rel_dedup": f"WITH {_RELS} SELECT min(relationship_id) AS relationship_id, source, target, type, document_id FROM rels GROUP BY source, target, type, document_id",
     "rewrite_stats": f"""WITH {_MERGED}, {_RELS}, d AS (SELECT count(*) AS n FROM (SELECT DISTINCT source, target, type, document_id FROM rels))

@@ -15,7 +15,7 @@ from lakeloom.operators.components import connected_components
 from lakeloom.plans import adapters as A
 from lakeloom.plans.storage import materialize
 from lakeloom.sources import files
-from lakeloom.sources.tables import canonical, delete_like, upsert
+from lakeloom.sources.tables import canonical, delete_counts, delete_like, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,6 +75,11 @@ def delete_by_name(s, d):
     return delete_like(A.chunks(s, d), "filename", "SRC1/en/doc_").select("chunk_id", "filename")
 
 
+@query
+def delete_like_counts(s, d):
+    return delete_counts(A.chunks(s, d), "filename", "SRC1/en/doc_")
+
+
 @query
 def upsert_documents(s, d):
     base = A.letters(s, d).withColumn("version", F.lit(1))
@@ -371,6 +376,11 @@ def report_groups(s, d):
     return resolve.report_groups(resolve.merge_groups(A.entities(s, d))).withColumn("members", _listed("members"))
 
 
+@query
+def merge_samples(s, d):
+    return resolve.merge_samples(resolve.merge_groups(A.entities(s, d))).withColumn("others", _listed("others"))
+
+
 @query
 def rel_dedup(s, d):
     return resolve.dedup_relationships(A.relationships(s, d)).select("relationship_id", "source", "target", "type", "document_id")
@@ -422,6 +432,14 @@ def _files(s, d):
     return graph.chunk_files(o.select(F.col("o_orderkey").alias("chunk_id"), name.alias("filename")))
 
 
+@query
+def chapter_files(s, d):
+    """Files of chunks of the older generation, which name chapters."""
+    o = A.table(s, d, "orders")
+    chapter = F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderkey") % 50)
+    return graph.chunk_files(o.select(F.col("o_orderkey").alias("chunk_id"), chapter.alias("chapter"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey") % 7).alias("chunk_index")))
+
+
 def _nodes(s, d):
     return graph.nodes(A.entities(s, d), _files(s, d))
 

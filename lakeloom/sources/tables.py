@@ -32,6 +32,11 @@ def delete_like(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.where(~F.coalesce(F.col(column).ilike(f"%{part}%"), F.lit(False)))
 
 
+def delete_counts(df: DataFrame, column: str, part: str) -> DataFrame:
+    """One row: how many rows there are, how many ``delete_like`` takes away, and how many it leaves."""
+    return df.agg(F.count("*").alias("n_before"), F.count_if(F.col(column).ilike(f"%{part}%")).alias("n_deleted")).withColumn("n_after", F.col("n_before") - F.col("n_deleted"))
+
+
 def stage_done(spark: SparkSession, path: str, stage: str) -> bool:
     """Whether the state table says that a stage is complete."""
     jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,6 +49,12 @@ def mark_stage(spark: SparkSession, path: str, stage: str, rows: int) -> None:
     spark.createDataFrame([(stage, rows)], "stage string, rows long").write.mode("append").parquet(path)
 
 
+def reset_stages(spark: SparkSession, path: str, stages: list[str] | None = None) -> None:
+    """Forget that these stages, or all, are complete; the table has a row a stage."""
+    kept = [tuple(r) for r in spark.read.parquet(path).select("stage", "rows").collect() if stages is not None and r["stage"] not in stages]
+    spark.createDataFrame(kept, "stage string, rows long").coalesce(1).write.mode("overwrite").parquet(path)
+
+
 #: Present column by its older name, for tables written by an earlier generation.
 RENAMED = {"documents_appeared": "chunks_appeared", "first_seen_document": "first_seen_chunk", "document_id": "chunk_id"}
 

@@ -64,6 +64,11 @@ def test_table_sinks(spark, tmp_path):
     assert not tables.stage_done(spark, state, "hash")
     tables.mark_stage(spark, state, "hash", 5)
     assert tables.stage_done(spark, state, "hash") and not tables.stage_done(spark, state, "lsh")
+    tables.mark_stage(spark, state, "lsh", 2)
+    tables.reset_stages(spark, state, ["hash"])
+    assert not tables.stage_done(spark, state, "hash") and tables.stage_done(spark, state, "lsh")
+    tables.reset_stages(spark, state)
+    assert not tables.stage_done(spark, state, "lsh")
 
 
 def test_delete_like_is_like(spark):
