@@ -74,6 +74,7 @@ def test_table_sinks(spark, tmp_path):
 def test_delete_like_is_like(spark):
     df = spark.createDataFrame([("PNA_0001.pdf",), ("pnax0001.txt",), ("other",), (None,)], "filename string")
     assert {r[0] for r in tables.delete_like(df, "filename", "pna_0001").collect()} == {"other", None}
+    assert tuple(tables.delete_counts(df, "filename", "pna_0001").first()) == (4, 2, 2)
 
 
 def test_canonical(spark):
