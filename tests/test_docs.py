@@ -117,3 +117,19 @@ def test_embed_duplicates(spark):
     model = lambda texts: [[float(t.count(c)) for c in "xyz"] for t in texts]
     got = {r["path_b"]: round(r["cosine_sim"], 4) for r in dedup.embed_duplicates(docs, pairs, model).collect()}
     assert got == {"b": round(6 / (5 * 8) ** 0.5, 4), "e": 1.0}
+
+
+def test_numbers_do_not_depend_on_the_width_of_rows(spark):
+    """Wide rows and narrow sizes coalesce differently: both must see one set of partitions."""
+    wide = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.sha2(F.concat_ws("-", "id", i).cast("binary"), 256)), "")
+    x = spark.range(3000).withColumn("wide", wide)
+    got = dedup._numbered(x, ["id"], "n").select("id", "n", F.length("wide").alias("w")).collect()
+    assert sorted((r["id"], r["n"], r["w"]) for r in got) == [(i, i, 3840) for i in range(3000)]
+
+
+def test_group_ids_are_whole_and_gapless(spark):
+    """Long paths in many groups: no member is lost and the ids are those of a dense rank."""
+    stem = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.sha2(F.concat_ws("-", F.col("id") % 1500, i).cast("binary"), 256)), "")
+    g = spark.range(3000).select(F.concat(F.format_string("%06d", F.col("id")), stem).alias("base_path"), F.lit("exact").alias("hash_type"), F.sha2((F.col("id") % 1500).cast("string").cast("binary"), 256).alias("content_hash"), F.concat(F.format_string("%06d", F.col("id") % 1500), stem).alias("first_path"))
+    got = sorted((r[0][:6], r[1]) for r in dedup.group_ids(g).select("base_path", "group_id").collect())
+    assert got == [(f"{i:06d}", i % 1500) for i in range(3000)]
