@@ -89,11 +89,12 @@ def merged_entities(entities: DataFrame, groups: DataFrame) -> DataFrame:
     best = F.max_by("description", F.struct(F.length(F.coalesce("description", F.lit(""))), -F.col("rank")))
     one = lambda c: F.max(F.when(F.col("rank") == 1, F.col(c)))
     merged = groups.groupBy("group_key").agg(
-        F.min("entity_id").alias("first_id"), one("name").alias("name"), one("type").alias("type"), best.alias("description"), one("first_seen_document").alias("first_seen_document"),
+        one("name").alias("name"), one("type").alias("type"), best.alias("description"), one("first_seen_document").alias("first_seen_document"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("documents_appeared", F.array().cast("array<string>")))))).alias("documents_appeared"),
     )
     top = entities.agg(F.coalesce(F.max("entity_id"), F.lit(0)).alias("m")).first()["m"]
-    merged = _numbered(merged, ["first_id"], "nth").withColumn("entity_id", F.col("nth") + top + 1)
+    heads = groups.groupBy("group_key").agg(F.min("entity_id").alias("first_id"))
+    merged = merged.join(_numbered(heads, ["first_id"], "nth").drop("first_id"), "group_key").withColumn("entity_id", F.col("nth") + top + 1)
     columns = ["entity_id", "name", "type", "description", "first_seen_document", "documents_appeared"]
     rest = entities.join(groups.select("entity_id"), "entity_id", "left_anti")
     return rest.select(*columns).unionByName(merged.select(*columns))

@@ -228,3 +228,16 @@ def test_failing_model_leaves_a_log_row(spark):
     assert {r["chunk_id"] for r in extract.resume_docs(chunks, extract.processing_log(parsed)).collect()} == {0, 4, 8}
     with pytest.raises(Exception, match="cannot read it"):
         files.map_texts(chunks, "text", "reply", model, "string").collect()
+
+
+def _wide_entities(spark, n, docs):
+    """``2 n`` entities, two of each key, each with many documents of its own."""
+    seen = F.transform(F.sequence(F.lit(1), F.lit(docs)), lambda i: F.substring(F.sha2(F.concat_ws("-", "id", i).cast("binary"), 256), 1, 24))
+    name = F.concat(F.when(F.col("id") < n, "Mr. ").otherwise(""), F.lit("alpha "), F.translate((F.col("id") % n).cast("string"), "0123456789", "qwertyuiop"))
+    return spark.range(2 * n).select((F.col("id") + 1).alias("entity_id"), name.alias("name"), F.lit("person").alias("type"), F.lit(None).cast("string").alias("description"), F.lit("d").alias("first_seen_document"), seen.alias("documents_appeared"))
+
+
+def test_merged_entities_keep_every_group_of_many_documents(spark):
+    e = _wide_entities(spark, 1000, 150)
+    got = sorted((r["entity_id"], r["n"]) for r in resolve.merged_entities(e, resolve.merge_groups(e)).select("entity_id", F.size("documents_appeared").alias("n")).collect())
+    assert got == [(2000 + i + 1, 300) for i in range(1000)]
