@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import extract, graph, resolve
+from lakeloom.plans.storage import materialize
 from lakeloom.sources import files
 
 ENTITY = "entity_id long, name string, type string, description string, first_seen_document string, documents_appeared array<string>"
@@ -241,3 +242,11 @@ def test_merged_entities_keep_every_group_of_many_documents(spark):
     e = _wide_entities(spark, 1000, 150)
     got = sorted((r["entity_id"], r["n"]) for r in resolve.merged_entities(e, resolve.merge_groups(e)).select("entity_id", F.size("documents_appeared").alias("n")).collect())
     assert got == [(2000 + i + 1, 300) for i in range(1000)]
+
+
+def test_cluster_pairs_of_merged_entities_with_many_documents(spark):
+    e = _wide_entities(spark, 1000, 150)
+    m = materialize(resolve.merged_entities(e, resolve.merge_groups(e)), "merged")
+    first = m.agg(F.min("name")).first()[0]
+    pairs = m.where(F.col("name") > first).select(F.lit(first).alias("name_a"), F.col("name").alias("name_b"))
+    assert resolve.cluster_pairs(m, pairs).agg(F.countDistinct("name")).first()[0] == 1000
