@@ -18,8 +18,10 @@ from lakeloom.functions.text import blocking_tokens, merge_key, normalize_name
 from lakeloom.operators.components import connected_components
 from lakeloom.operators.dedup import _numbered
 
-#: Vectors of one block, of which two meet in a task; names of a token's block.
+#: Asking vectors of one block; names of a token's block.
 BLOCK_ROWS, TOKEN_ROWS = 20_000, 2_000
+#: Asking and given vectors of one product.
+ASK_ROWS, GIVE_ROWS = 1_024, 4_096
 
 
 def _docs() -> F.Column:
@@ -166,68 +168,108 @@ def report_pairs(pairs: DataFrame, n: int = 500) -> DataFrame:
     return pairs.orderBy(F.desc("combined"), "name_a", "name_b").limit(n)
 
 
+class _Best:
+    """The ``k`` most similar rows of each asking row so far.
+
+    Products in single precision, less a bound of their error, choose the candidates; these are scored in double precision,
+    each by itself, so equal vectors score alike wherever they lie.
+    """
+
+    def __init__(self, k: int, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.k, self.ids, self.rows, self.single = k, ids, rows, rows.astype(np.float32)
+        self.norms, self.largest = np.linalg.norm(rows, axis=1), 0.0
+        self.sims, self.found = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
+
+    def meet(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        ids, rows = _least_copies(ids, rows, self.k + 1)
+        norms = np.linalg.norm(rows, axis=1)
+        norms = norms[np.isfinite(norms)]
+        self.largest = max(self.largest, norms.max(initial=0.0))
+        small = max(self.largest, self.norms.max(initial=0.0)) < 1e15  # else single precision could overflow
+        mine, theirs = (self.single, rows.astype(np.float32)) if small else (self.rows, rows)
+        slack = (rows.shape[1] + 8) * 2.0**-23 * self.norms * self.largest + rows.shape[1] * 1e-37
+        for at in range(0, len(self.ids), ASK_ROWS):
+            part = slice(at, at + ASK_ROWS)
+            sims = mine[part] @ theirs.T
+            sims[self.ids[part, None] == ids[None, :]] = -np.inf
+            least = self.sims[part, -1] - slack[part]
+            new = np.flatnonzero(np.isneginf(self.sims[part, -1]))
+            if len(new) and len(ids) > self.k:
+                least[new] = np.partition(np.nan_to_num(sims[new], nan=-np.inf), -self.k, axis=1)[:, -self.k] - 2 * slack[part][new]
+            i, j = np.nonzero((sims >= least.astype(sims.dtype)[:, None]) & (sims > -np.inf))
+            for some in np.array_split(np.arange(len(i)), max(1, -(-len(i) // 100_000))):
+                if len(some):
+                    self._take(i[some] + at, ids[j[some]], (self.rows[i[some] + at] * rows[j[some]]).sum(axis=1))
+
+    def _take(self, row: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
+        keep = np.isfinite(sims) & (sims >= self.sims[row, -1])
+        row, ids, sims = row[keep], ids[keep], sims[keep]
+        had = np.unique(row)
+        row, ids, sims = np.append(np.repeat(had, self.k), row), np.append(self.found[had].ravel(), ids), np.append(self.sims[had].ravel(), sims)
+        order = np.lexsort((ids, -sims, row))  # ties to the lesser id
+        row, ids, sims = row[order], ids[order], sims[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        best = rank < self.k
+        self.found[row[best], rank[best]], self.sims[row[best], rank[best]] = ids[best], sims[best]
+
+    def batch(self) -> pa.RecordBatch:
+        keep = np.isfinite(self.sims)
+        i, rank = np.nonzero(keep)
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[i]), pa.array(self.found[keep]), pa.array(self.sims[keep]), pa.array((rank + 1).astype(np.int32))], ["i", "j", "sim", "rank"])
+
+
+def _least_copies(ids: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors those with the ``n`` least ids: more can be nobody's neighbours."""
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], np.ascontiguousarray(rows[order])
+    _, of = np.unique(rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel(), return_inverse=True) if rows.shape[1] else (None, np.zeros(len(ids), np.int64))
+    order = np.argsort(of, kind="stable")
+    of = of[order]
+    keep = np.sort(order[np.arange(len(of)) - np.searchsorted(of, of) < n])
+    return ids[keep], rows[keep]
+
+
 def _top(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The ``k`` best of one block for every vector of another; rows come sorted by the pair of blocks."""
-        for g in _runs(batches, ["x", "y"]):
-            asks = g["asks"].to_numpy()
-            ids = g["id"].to_numpy()
-            v = g["v"].combine_chunks()
+        """The ``k`` best of all vectors for those of one block, which come first."""
+        asks, best = [], None
+        for batch in batches:
+            ids, v, ask = (batch.column(batch.schema.get_field_index(c)) for c in ("id", "v", "asks"))
+            if not batch.num_rows:
+                continue
+            ids, ask = ids.to_numpy(), ask.to_numpy(zero_copy_only=False)
             rows = np.asarray(v.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(ids), -1)
-            i, j, other = ids[asks], ids[~asks], rows[~asks]
-            if not len(i) or not len(j):
+            if ask.any():
+                asks.append((ids[ask], rows[ask]))
+            if ask.all():
                 continue
-            order = np.argsort(j, kind="stable")
-            j, other = j[order], other[order]
-            best = min(k, len(j))
-            for part in np.array_split(np.arange(len(i)), max(1, len(i) * len(j) // 4_000_000)):
-                sims = rows[asks][part] @ other.T
-                sims[i[part][:, None] == j[None, :]] = -np.inf
-                at = np.argsort(-sims, axis=1, kind="stable")[:, :best]  # ties to the lesser id
-                found = np.take_along_axis(sims, at, 1).ravel()
-                keep = np.isfinite(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(i[part], best)[keep]), pa.array(j[at].ravel()[keep]), pa.array(found[keep])], ["i", "j", "sim"])
+            if best is None:
+                if not asks:
+                    return
+                best = _Best(k, *(np.concatenate(x) for x in zip(*asks, strict=True)))
+            ids, rows = ids[~ask], rows[~ask]
+            for at in range(0, len(ids), GIVE_ROWS):
+                best.meet(ids[at : at + GIVE_ROWS], rows[at : at + GIVE_ROWS])
+        if best is not None:
+            yield best.batch()
 
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal keys of a sorted stream."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        at = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in keys]
-        new = np.append(True, np.any([c[1:] != c[:-1] for c in at], axis=0))
-        first = np.flatnonzero(new)
-        for a, b in zip(first, np.append(first[1:], batch.num_rows), strict=True):
-            key = tuple(c[a] for c in at)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def topk_neighbours(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(i, j, sim, rank): the ``k`` most similar other rows of every row, ties to the lesser id.
 
-    Rows fall into blocks of at most about ``BLOCK_ROWS`` vectors by a hash of their id; each pair of blocks meets in a task
-    and gives its own ``k`` best, so nothing passes through the driver.
+    Rows fall into blocks of about ``BLOCK_ROWS`` asking vectors by a hash of their id; all vectors stream past each block in a
+    task, which keeps its ``k`` best, so memory is bounded and nothing passes through the driver.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("v is not null and id is not null")
     tasks = v.sparkSession.sparkContext.defaultParallelism
-    blocks = max(-(-v.count() // BLOCK_ROWS), int(np.ceil(np.sqrt(tasks))))
-    own, every = F.pmod(F.xxhash64("id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    asks = v.select("id", "v", own.alias("x"), every.alias("y"), F.lit(True).alias("asks"))
-    gives = v.select("id", "v", every.alias("x"), own.alias("y"), F.lit(False).alias("asks"))
-    met = asks.unionByName(gives).repartition(blocks * blocks, "x", "y").sortWithinPartitions("x", "y")
-    out = met.mapInArrow(_top(k), "i long, j long, sim double")
-    rank = F.row_number().over(Window.partitionBy("i").orderBy(F.desc("sim"), "j"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k)
+    blocks = tasks * max(1, -(-v.count() // (BLOCK_ROWS * tasks)))
+    own, every = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    asks = v.select("id", "v", own.alias("x"), F.lit(True).alias("asks"))
+    gives = v.select("id", "v", every.alias("x"), F.lit(False).alias("asks"))
+    met = asks.unionByName(gives).repartitionById(blocks, F.col("x")).sortWithinPartitions(F.desc("asks"))
+    return met.mapInArrow(_top(k), "i long, j long, sim double, rank int")
 
 
 def neighbour_pairs(vectors: DataFrame, threshold: float = 0.82, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -250,3 +250,23 @@ def test_cluster_pairs_of_merged_entities_with_many_documents(spark):
     first = m.agg(F.min("name")).first()[0]
     pairs = m.where(F.col("name") > first).select(F.lit(first).alias("name_a"), F.col("name").alias("name_b"))
     assert resolve.cluster_pairs(m, pairs).agg(F.countDistinct("name")).first()[0] == 1000
+
+
+def test_topk_keeps_its_best_in_the_task_and_takes_copies_exactly(spark, monkeypatch):
+    """Copies, zero vectors and differences below single precision; no second ranking of what each pair of blocks gave."""
+    monkeypatch.setattr(resolve, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(resolve, "ASK_ROWS", 7)
+    monkeypatch.setattr(resolve, "GIVE_ROWS", 16)
+    rng = np.random.default_rng(3)
+    v = rng.integers(-3, 4, (150, 4)).astype(float)
+    v[20:60], v[60:70], v[70:80] = v[3], 0, v[4] + np.arange(10)[:, None] * 1e-12
+    ids = rng.permutation(150) * 3
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>").repartition(5)
+    out = resolve.topk_neighbours(df, 6)
+    assert "Window" not in out._jdf.queryExecution().toString()
+    want = set()
+    for n, i in enumerate(ids):
+        sims = (v[n] * v).sum(axis=1)
+        order = [m for m in np.lexsort((ids, -sims)) if m != n][:6]
+        want |= {(int(i), int(ids[m]), float(sims[m]), r + 1) for r, m in enumerate(order)}
+    assert {tuple(r) for r in out.collect()} == want
