@@ -270,3 +270,16 @@ def test_topk_keeps_its_best_in_the_task_and_takes_copies_exactly(spark, monkeyp
         order = [m for m in np.lexsort((ids, -sims)) if m != n][:6]
         want |= {(int(i), int(ids[m]), float(sims[m]), r + 1) for r, m in enumerate(order)}
     assert {tuple(r) for r in out.collect()} == want
+
+
+def test_neighbour_pairs_of_many_copies(spark, monkeypatch):
+    """Copies over several blocks: each row's neighbours are the least other ids, found without a second ranking."""
+    monkeypatch.setattr(resolve, "BLOCK_ROWS", 10)
+    df = spark.createDataFrame([(i, [1.0, 0.0] if i % 10 else [0.0, 1.0]) for i in range(120)], "vec_id long, embedding array<double>")
+    out = resolve.neighbour_pairs(df, 0.9, 3)
+    assert "Window" not in out._jdf.queryExecution().toString()
+    want = set()
+    for i in range(120):
+        same = [j for j in range(120) if j != i and (j % 10 == 0) == (i % 10 == 0)][:3]
+        want |= {(i, j, 1.0) for j in same if j > i}
+    assert {tuple(r) for r in out.collect()} == want
