@@ -1,7 +1,10 @@
+import hashlib
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lakeloom.functions import text as T
 from lakeloom.operators import dedup, docs, explore, manifest
 from lakeloom.operators.components import connected_components
 from lakeloom.sources.files import line_chunks
@@ -133,3 +136,31 @@ def test_group_ids_are_whole_and_gapless(spark):
     g = spark.range(3000).select(F.concat(F.format_string("%06d", F.col("id")), stem).alias("base_path"), F.lit("exact").alias("hash_type"), F.sha2((F.col("id") % 1500).cast("string").cast("binary"), 256).alias("content_hash"), F.concat(F.format_string("%06d", F.col("id") % 1500), stem).alias("first_path"))
     got = sorted((r[0][:6], r[1]) for r in dedup.group_ids(g).select("base_path", "group_id").collect())
     assert got == [(f"{i:06d}", i % 1500) for i in range(3000)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString().lower()
+
+
+def test_texts_are_hashed_once_and_bands_leave_signatures_behind(spark):
+    x = make(spark, [("a", "T x"), ("b", "T x"), ("c", "t  X"), ("n", None), ("m", None)])
+    groups = dedup.hash_groups(x)
+    assert "sha2(" not in _plan(groups) and "regexp" not in _plan(groups)
+    assert {r[0] for r in groups.collect()} == {"a", "b"}
+    s = dedup.minhash_signatures(x)
+    assert "md5(" not in _plan(s) and "signature" not in _plan(dedup.band_links(s))
+
+
+def test_signatures_follow_the_formula_on_odd_texts(spark):
+    """The JVM's white space and lower case, words of any bytes, fewer than five words, repeats."""
+    texts = ["A b C d\x1ce f\x1d g", "İ ÄÖ 漢字 x y z", "one two", "", " \t\n", "x " * 700, "\u0085a b c　d e\x0bf"]
+    x = make(spark, [(str(i), t) for i, t in enumerate(texts)])
+    got = {r[0]: r[1] for r in dedup.minhash_signatures(x).collect()}
+    grams = {r[0]: r[1] or [""] for r in x.select("base_path", T.shingles(F.col("text"))).collect()}
+    for path, g in grams.items():
+        h = [int(hashlib.md5(y.encode()).hexdigest()[:8], 16) % dedup.PRIME for y in g]
+        assert got[path] == [min((a * y + b) % dedup.PRIME for y in h) for a, b in dedup.slot_constants()]
+    want = {r[0]: hashlib.sha256(r[1].encode()).hexdigest() for r in x.select("base_path", T.normalize_text(F.col("text"))).collect()}
+    twice = x.unionByName(x.select(F.concat("base_path", F.lit("-")).alias("base_path"), F.concat(F.lit("\n"), F.upper(F.lower("text")), F.lit("  ")).alias("text")).where("base_path <> '1-'"))
+    for r in dedup.normalized_groups(twice).collect():
+        assert r["content_hash"] == want[r["base_path"].rstrip("-")]
