@@ -36,15 +36,31 @@ def entity_files(entities: DataFrame, files: DataFrame) -> DataFrame:
     return first.groupBy("entity_id").agg(listed.alias("files"))
 
 
+def _first_files(entities: DataFrame, files: DataFrame) -> DataFrame:
+    first = files.select(F.col("chunk_id").alias("first_seen_document"), F.col("filename").alias("first_path"), F.col("page").alias("first_page"))
+    e = entities.join(first, "first_seen_document", "left")
+    return e.withColumn("first_path", F.coalesce("first_path", F.when(F.col("first_seen_document") != "", F.col("first_seen_document")), F.lit("unknown"))).withColumn("first_page", F.coalesce("first_page", F.lit("?")))
+
+
+def _main(entities: DataFrame) -> DataFrame:
+    """(name, a): the attributes of each name's row with most files (the first of these)."""
+    attributes = F.struct(F.coalesce("type", F.lit("unknown")).alias("entity_type"), F.coalesce("description", F.lit("")).alias("description"), "first_path", "first_page")
+    return entities.groupBy("name").agg(F.max_by(attributes, F.struct("n_files", -F.col("entity_id"))).alias("a"))
+
+
+def node_attributes(entities: DataFrame, files: DataFrame) -> DataFrame:
+    """(name, entity_type, description) of ``nodes``: files are only counted, by sums that combine before the shuffle."""
+    seen = entities.select("entity_id", F.explode("documents_appeared").alias("chunk_id")).join(files.select("chunk_id", "filename"), "chunk_id", "left")
+    n = seen.select("entity_id", F.coalesce("filename", "chunk_id").alias("filename")).distinct().groupBy("entity_id").agg(F.count("*").cast("int").alias("n_files"))
+    e = _first_files(entities.drop("documents_appeared").join(n, "entity_id", "left").withColumn("n_files", F.coalesce("n_files", F.lit(0))), files)
+    return _main(e).select("name", "a.entity_type", "a.description")
+
+
 def nodes(entities: DataFrame, files: DataFrame) -> DataFrame:
     """One node a name: attributes of its row with most files (the first of these), files of all rows in order."""
-    first = files.select(F.col("chunk_id").alias("first_seen_document"), F.col("filename").alias("first_path"), F.col("page").alias("first_page"))
-    e = entities.join(entity_files(entities, files), "entity_id", "left").join(first, "first_seen_document", "left")
     none = F.array().cast("array<struct<filename:string,page:string>>")
-    e = e.withColumn("files", F.coalesce("files", none)).withColumn("first_path", F.coalesce("first_path", F.when(F.col("first_seen_document") != "", F.col("first_seen_document")), F.lit("unknown"))).withColumn("first_page", F.coalesce("first_page", F.lit("?")))
-    best = F.struct(F.size("files"), -F.col("entity_id"))
-    attributes = F.max_by(F.struct(F.coalesce("type", F.lit("unknown")).alias("entity_type"), F.coalesce("description", F.lit("")).alias("description"), "first_path", "first_page"), best)
-    main = e.groupBy("name").agg(attributes.alias("a"))
+    e = _first_files(entities.join(entity_files(entities, files), "entity_id", "left").withColumn("files", F.coalesce("files", none)), files)
+    main = _main(e.withColumn("n_files", F.size("files")))
     every = e.select("name", "entity_id", F.posexplode("files").alias("nth", "f")).groupBy("name", "f.filename").agg(F.min(F.struct("entity_id", "nth", "f.page")).alias("o"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("o.entity_id", "o.nth", "filename", "o.page"))), lambda x: F.struct(x["filename"].alias("filename"), x["page"].alias("page")))
     docs = every.groupBy("name").agg(listed.alias("documents"))
@@ -52,12 +68,22 @@ def nodes(entities: DataFrame, files: DataFrame) -> DataFrame:
     return out.select("name", "a.entity_type", "a.description", F.size("documents").alias("document_count"), basename(F.col("a.first_path")).alias("first_seen_display"), F.col("a.first_page").alias("first_seen_page"), "documents")
 
 
-def edges(rels: DataFrame, node_names: DataFrame, keep: int = 5) -> DataFrame:
-    """(source, target, weight, relationships): unordered pairs of nodes, the first ``keep`` relationships by id."""
+def _between(rels: DataFrame, node_names: DataFrame) -> DataFrame:
+    """Relationships whose ends are nodes, the lesser end first."""
     given = rels.where("source is not null and source <> '' and target is not null and target <> ''")
     both = given.join(node_names.select(F.col("name").alias("source")), "source", "left_semi").join(node_names.select(F.col("name").alias("target")), "target", "left_semi")
-    row = both.select(
-        F.least("source", "target").alias("source"), F.greatest("source", "target").alias("target"), "relationship_id",
+    return both.withColumns({"source": F.least("source", "target"), "target": F.greatest("source", "target")})
+
+
+def weights(rels: DataFrame, node_names: DataFrame) -> DataFrame:
+    """(source, target, weight) of ``edges``: counts that combine before the shuffle."""
+    return _between(rels, node_names).groupBy("source", "target").agg(F.count("*").alias("weight"))
+
+
+def edges(rels: DataFrame, node_names: DataFrame, keep: int = 5) -> DataFrame:
+    """(source, target, weight, relationships): unordered pairs of nodes, the first ``keep`` relationships by id."""
+    row = _between(rels, node_names).select(
+        "source", "target", "relationship_id",
         F.struct(F.coalesce("type", F.lit("unknown")).alias("type"), F.coalesce("description", F.lit("")).alias("description"), F.coalesce("document_id", F.lit("?")).alias("document_id")).alias("r"),
     )
     weight = row.groupBy("source", "target").agg(F.count("*").alias("weight"))
@@ -78,8 +104,8 @@ def with_degrees(node_table: DataFrame, edge_table: DataFrame) -> DataFrame:
 def search_text(node_table: DataFrame, entities: DataFrame, documents: DataFrame, rels: DataFrame) -> DataFrame:
     """(name, search_text): name, type and description, the fields of the entity's documents, its relationships; lower case."""
     full = lambda c: F.filter(F.array(*c), lambda x: x.isNotNull() & (x != ""))
-    seen = entities.select("name", F.explode("documents_appeared").alias("document_id")).distinct()
-    d = seen.join(documents, "document_id").select("name", "document_id", F.array_join(full(["subject", "sender", "recipient", "reference"]), " ").alias("t")).where("t <> ''").select("name", "t").distinct()
+    seen = entities.select("name", F.explode("documents_appeared").alias("document_id"))
+    d = seen.join(documents, "document_id").select("name", F.array_join(full(["subject", "sender", "recipient", "reference"]), " ").alias("t")).where("t <> ''").distinct()
     d = d.groupBy("name").agg(F.array_join(F.array_sort(F.collect_set("t")), " ").alias("d"))
     r = rels.select(F.explode(F.array_distinct(F.array("source", "target"))).alias("name"), F.array_join(full(["type", "description"]), " ").alias("t")).where("t <> ''").distinct()
     r = r.groupBy("name").agg(F.array_join(F.array_sort(F.collect_set("t")), " ").alias("r"))

@@ -113,7 +113,11 @@ def map_names(df: DataFrame, names: DataFrame, columns: list[str]) -> DataFrame:
 
 def dedup_relationships(rels: DataFrame) -> DataFrame:
     """Of equal (source, target, type, document_id) the one with the least id."""
-    rank = F.row_number().over(Window.partitionBy("source", "target", "type", "document_id").orderBy("relationship_id"))
+    keys = ["source", "target", "type", "document_id"]
+    if set(rels.columns) == {"relationship_id", *keys}:  # nothing else to carry: no sort; a null id comes first
+        least = F.when(F.count("relationship_id") == F.count("*"), F.min("relationship_id"))
+        return rels.groupBy(*keys).agg(least.alias("relationship_id")).select(*rels.columns)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("relationship_id"))
     return rels.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 

@@ -283,3 +283,19 @@ def test_neighbour_pairs_of_many_copies(spark, monkeypatch):
         same = [j for j in range(120) if j != i and (j % 10 == 0) == (i % 10 == 0)][:3]
         want |= {(i, j, 1.0) for j in same if j > i}
     assert {tuple(r) for r in out.collect()} == want
+
+
+def test_parts_of_the_graph_without_its_lists(spark):
+    """Weights and attributes agree with edges and nodes and need no ranking or lists; rewritten rows without extras no sort."""
+    e = entities(spark, [("A", "x", "d", "1", ["1", "2"]), ("A", "y", None, "2", ["2", "3", "4"]), ("B", None, "", "9", None), ("C", "z", "q", "4", ["4"])])
+    files = spark.createDataFrame([("1", "f", "1"), ("2", "g", "1"), ("3", "g", "2"), ("4", "g", "3")], "chunk_id string, filename string, page string")
+    some = graph.node_attributes(e, files)
+    assert {tuple(r) for r in some.collect()} == {tuple(r) for r in graph.nodes(e, files).select("name", "entity_type", "description").collect()}
+    assert {tuple(r) for r in some.collect()} == {("A", "x", "d"), ("B", "unknown", ""), ("C", "z", "q")}
+    r = spark.createDataFrame([(1, "A", "B", "t", "d", "1"), (2, "B", "A", "t", "d", "2"), (3, "A", "A", "t", "d", "3"), (4, "A", "gone", "t", "d", "4"), (5, "A", "", "t", "d", "5"), (6, None, "B", "t", "d", "6")], REL)
+    w = graph.weights(r, e.select("name").distinct())
+    assert {tuple(x) for x in w.collect()} == {tuple(x) for x in graph.edges(r, e.select("name").distinct()).select("source", "target", "weight").collect()} == {("A", "B", 2), ("A", "A", 1)}
+    few = spark.createDataFrame([(3, "A", "B", "t", "1"), (2, "A", "B", "t", "1"), (5, "A", None, "t", "1"), (None, "A", None, "t", "1")], "relationship_id long, source string, target string, type string, document_id string")
+    once = resolve.dedup_relationships(few)
+    assert {tuple(x) for x in once.collect()} == {(2, "A", "B", "t", "1"), (None, "A", None, "t", "1")}
+    assert all("Window" not in x._jdf.queryExecution().toString() for x in (w, once, some))
