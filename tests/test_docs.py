@@ -171,11 +171,15 @@ def test_signatures_follow_the_formula_on_odd_texts(spark):
 def _plain_slots(h):
     """The formula in 64-bit integers."""
     a, b = (np.array(x, np.uint64)[:, None] for x in zip(*dedup.slot_constants(), strict=True))
-    low = np.full(dedup.SLOTS, dedup.PRIME, np.uint64)
+    low = np.full(dedup.SLOTS, dedup.PRIME, np.uint32)
     for i in range(0, len(h), 512):
-        x = a * h[None, i : i + 512].astype(np.uint64) + b
-        x = (x >> np.uint64(31)) + (x & np.uint64(dedup.PRIME))
-        low = np.minimum(low, np.where(x >= dedup.PRIME, x - np.uint64(dedup.PRIME), x).min(axis=1))
+        x = a * h[None, i : i + 512].astype(np.uint64)
+        x += b
+        high = x >> np.uint64(31)
+        x &= np.uint64(dedup.PRIME)
+        x += high
+        y = x.astype(np.uint32)
+        np.minimum(low, np.minimum(y, y - np.uint32(dedup.PRIME)).min(axis=1), out=low)
     return low.astype(np.int64)
 
 
@@ -195,4 +199,4 @@ def test_slots_take_less_than_integer_arithmetic():
         began = time.perf_counter()
         f(h)
         took[f].append(time.perf_counter() - began)
-    assert min(took[dedup._slots]) < 0.6 * min(took[_plain_slots])
+    assert min(took[dedup._slots]) < 0.7 * min(took[_plain_slots])
