@@ -18,8 +18,8 @@ from lakeloom.functions.text import blocking_tokens, merge_key, normalize_name
 from lakeloom.operators.components import connected_components
 from lakeloom.operators.dedup import _numbered
 
-#: Asking vectors of one block; names of a token's block.
-BLOCK_ROWS, TOKEN_ROWS = 20_000, 2_000
+#: Asking vectors of one block, and their values if these are more than the vectors of ``LONG_ROWS``; names of a token's block.
+BLOCK_ROWS, BLOCK_VALUES, LONG_ROWS, TOKEN_ROWS = 60_000, 4_000_000, 20_000, 2_000
 #: Asking and given vectors of one product.
 ASK_ROWS, GIVE_ROWS = 1_024, 4_096
 
@@ -179,8 +179,8 @@ class _Best:
     each by itself, so equal vectors score alike wherever they lie.
     """
 
-    def __init__(self, k: int, ids: np.ndarray, rows: np.ndarray) -> None:
-        self.k, self.ids, self.rows, self.single = k, ids, rows, rows.astype(np.float32)
+    def __init__(self, k: int, ids: np.ndarray, rows: np.ndarray, floor: float = -np.inf) -> None:
+        self.k, self.ids, self.rows, self.single, self.floor = k, ids, rows, rows.astype(np.float32), floor
         self.norms, self.largest = np.linalg.norm(rows, axis=1), 0.0
         self.sims, self.found = np.full((len(ids), k), -np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
 
@@ -195,12 +195,13 @@ class _Best:
         for at in range(0, len(self.ids), ASK_ROWS):
             part = slice(at, at + ASK_ROWS)
             sims = mine[part] @ theirs.T
-            sims[self.ids[part, None] == ids[None, :]] = -np.inf
-            least = self.sims[part, -1] - slack[part]
-            new = np.flatnonzero(np.isneginf(self.sims[part, -1]))
-            if len(new) and len(ids) > self.k:
-                least[new] = np.partition(np.nan_to_num(sims[new], nan=-np.inf), -self.k, axis=1)[:, -self.k] - 2 * slack[part][new]
-            i, j = np.nonzero((sims >= least.astype(sims.dtype)[:, None]) & (sims > -np.inf))
+            least = np.maximum(self.sims[part, -1], self.floor) - slack[part]
+            new = np.flatnonzero(np.isneginf(least))
+            if len(new) and len(ids) > self.k + 1:  # one of them may be the asking row itself
+                least[new] = np.partition(np.nan_to_num(sims[new], nan=-np.inf), -self.k - 1, axis=1)[:, -self.k - 1] - 2 * slack[part][new]
+            i, j = _where(sims >= least.astype(sims.dtype)[:, None])
+            other = self.ids[i + at] != ids[j]
+            i, j = i[other], j[other]
             for some in np.array_split(np.arange(len(i)), max(1, -(-len(i) // 100_000))):
                 if len(some):
                     self._take(i[some] + at, ids[j[some]], (self.rows[i[some] + at] * rows[j[some]]).sum(axis=1))
@@ -222,6 +223,15 @@ class _Best:
         return pa.RecordBatch.from_arrays([pa.array(self.ids[i]), pa.array(self.found[keep]), pa.array(self.sims[keep]), pa.array((rank + 1).astype(np.int32))], ["i", "j", "sim", "rank"])
 
 
+def _where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few true values, sought eight at a time."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    near = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    near = np.append(near, np.arange(whole, len(flat)))
+    return np.divmod(near[flat[near]], mask.shape[1])
+
+
 def _least_copies(ids: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Of equal vectors those with the ``n`` least ids: more can be nobody's neighbours."""
     order = np.argsort(ids, kind="stable")
@@ -233,7 +243,7 @@ def _least_copies(ids: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray
     return ids[keep], rows[keep]
 
 
-def _top(k: int):
+def _top(k: int, floor: float = -np.inf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The ``k`` best of all vectors for those of one block, which come first."""
         asks, best = [], None
@@ -250,7 +260,7 @@ def _top(k: int):
             if best is None:
                 if not asks:
                     return
-                best = _Best(k, *(np.concatenate(x) for x in zip(*asks, strict=True)))
+                best = _Best(k, *(np.concatenate(x) for x in zip(*asks, strict=True)), floor)
             ids, rows = ids[~ask], rows[~ask]
             for at in range(0, len(ids), GIVE_ROWS):
                 best.meet(ids[at : at + GIVE_ROWS], rows[at : at + GIVE_ROWS])
@@ -260,22 +270,25 @@ def _top(k: int):
     return run
 
 
-def topk_neighbours(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def topk_neighbours(vectors: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", floor: float = -np.inf) -> DataFrame:
     """(i, j, sim, rank): the ``k`` most similar other rows of every row, ties to the lesser id.
 
-    Rows fall into blocks of about ``BLOCK_ROWS`` asking vectors by a hash of their id; all vectors stream past each block in a
-    task, which keeps its ``k`` best, so memory is bounded and nothing passes through the driver.
+    Rows fall into blocks of at most about ``BLOCK_ROWS`` asking vectors by a hash of their id; all vectors stream past each block in a
+    task, which keeps its ``k`` best, so memory is bounded and nothing passes through the driver.  Of neighbours less similar
+    than ``floor`` some may be left out; the others and their ranks are the same.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("v is not null and id is not null")
     tasks = v.sparkSession.sparkContext.defaultParallelism
-    blocks = tasks * max(1, -(-v.count() // (BLOCK_ROWS * tasks)))
+    n, size = v.agg(F.count("*"), F.max(F.size("v"))).first()
+    rows = min(BLOCK_ROWS, max(LONG_ROWS, BLOCK_VALUES // max(size or 1, 1)))
+    blocks = tasks * max(1, -(-n // (rows * tasks)))
     own, every = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     asks = v.select("id", "v", own.alias("x"), F.lit(True).alias("asks"))
     gives = v.select("id", "v", every.alias("x"), F.lit(False).alias("asks"))
     met = asks.unionByName(gives).repartitionById(blocks, F.col("x")).sortWithinPartitions(F.desc("asks"))
-    return met.mapInArrow(_top(k), "i long, j long, sim double, rank int")
+    return met.mapInArrow(_top(k, floor), "i long, j long, sim double, rank int")
 
 
 def neighbour_pairs(vectors: DataFrame, threshold: float = 0.82, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(i, j, sim) with i < j where j is among i's neighbours and their cosine reaches the threshold."""
-    return topk_neighbours(vectors, k, id_col, vector_col).where((F.col("j") > F.col("i")) & (F.col("sim") >= threshold)).select("i", "j", F.round("sim", 4).alias("sim"))
+    return topk_neighbours(vectors, k, id_col, vector_col, floor=threshold).where((F.col("j") > F.col("i")) & (F.col("sim") >= threshold)).select("i", "j", F.round("sim", 4).alias("sim"))

@@ -299,3 +299,31 @@ def test_parts_of_the_graph_without_its_lists(spark):
     once = resolve.dedup_relationships(few)
     assert {tuple(x) for x in once.collect()} == {(2, "A", "B", "t", "1"), (None, "A", None, "t", "1")}
     assert all("Window" not in x._jdf.queryExecution().toString() for x in (w, once, some))
+
+
+def test_neighbour_pairs_score_again_only_what_reaches_the_threshold(spark, monkeypatch):
+    """Rows below the threshold are no candidates, not even while a row knows fewer than k; the pairs are those of all neighbours."""
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(203, 16))
+    v[50:60] = v[3] + rng.normal(size=(10, 16)) * 0.2
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    sims = (v[:, None] * v[None]).sum(axis=2)
+    ids = np.arange(203)
+    taken = []
+    take = resolve._Best._take
+    monkeypatch.setattr(resolve._Best, "_take", lambda self, row, ids, s: (taken.extend(s), take(self, row, ids, s)))
+    best = resolve._Best(5, ids, v, 0.6)
+    for at in range(0, 203, 40):
+        best.meet(ids[at : at + 40], v[at : at + 40])
+    assert 90 <= len(taken) <= (sims >= 0.6 - 1e-4).sum() - 203 and min(taken) > 0.6 - 1e-4
+    monkeypatch.setattr(resolve._Best, "_take", take)
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>")
+    want = {(int(i), int(j), round(float(sims[i, j]), 4)) for i in ids for j in [m for m in np.lexsort((ids, -sims[i])) if m != i][:5] if j > i and sims[i, j] >= 0.6}
+    assert {tuple(r) for r in resolve.neighbour_pairs(df, 0.6, 5).collect()} == want and len(want) > 20
+
+
+@pytest.mark.parametrize("shape", [(1, 1), (3, 5), (8, 8), (7, 33)])
+def test_true_values_are_found_at_any_size(shape):
+    mask = np.random.default_rng(1).random(shape) < 0.3
+    for m in (mask, ~mask, mask & False, mask | True):
+        assert [x.tolist() for x in resolve._where(m)] == [x.tolist() for x in np.nonzero(m)]
