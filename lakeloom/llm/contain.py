@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.kernel import U, _series, shingle_rows
+from lakeloom.llm.kernel import U, _series, shingle_rows, trimmed
 
 _SCHEMA = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
 
@@ -128,7 +128,7 @@ def contained_items(
             sets += [np.unique(s[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
         words = [len([w for w in _words(t) if w]) for t in texts]
         plan = spark.sparkContext.broadcast((ids, sets, _partitions(sets, words, k, threshold, miss), k, threshold))
-        found = found.unionByName(docs.mapInArrow(_search(plan), _SCHEMA))
+        found = found.unionByName(docs.mapInArrow(trimmed(_search(plan)), _SCHEMA))
     return found
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.kernel import U, distinct_sorted, mix, shingle_rows
+from lakeloom.llm.kernel import U, distinct_sorted, mix, shingle_rows, trimmed
 from lakeloom.operators.components import connected_components
 from lakeloom.plans.storage import discard, materialize
 
@@ -121,7 +121,7 @@ def _levels(described: DataFrame, bits: int, parts: int) -> np.ndarray:
         for _, load in _add_up(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.quantile(load, np.arange(1, LEVELS) / LEVELS))], ["cut"])
 
-    found = np.array([r["cut"] for r in rows.where("n = 0").mapInArrow(cuts, "cut double").collect()])
+    found = np.array([r["cut"] for r in rows.where("n = 0").mapInArrow(trimmed(cuts), "cut double").collect()])
 
     def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, load in _add_up(batches):
@@ -129,7 +129,7 @@ def _levels(described: DataFrame, bits: int, parts: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([(level[::2] | level[1::2] << 4).tobytes()], pa.binary())], ["chunk", "level"])
 
     out = np.zeros((1 << (bits - CHUNK_BITS), 1 << (CHUNK_BITS - 1)), np.uint8)
-    for r in rows.mapInArrow(levels, "chunk long, level binary").collect():
+    for r in rows.mapInArrow(trimmed(levels), "chunk long, level binary").collect():
         out[r["chunk"]] = np.frombuffer(r["level"], np.uint8)
     return out.reshape(-1)
 
@@ -376,7 +376,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(doc_id, tokens): the packed sets of some documents."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(_pack_sets(k), "doc_id long, tokens binary"), "jaccard-tokens")
+    return materialize(docs.join(ids, "doc_id", "left_semi").mapInArrow(trimmed(_pack_sets(k)), "doc_id long, tokens binary"), "jaccard-tokens")
 
 
 def _send_sets(k: int):
@@ -413,8 +413,8 @@ def _links(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int, group:
     roles = members.unionByName(probes).groupBy("doc_id", "part").agg(F.collect_list("role").alias("roles")).drop("part")
     if salted.count() <= BROADCAST_IDS // 4:  # two roles of 24 bytes a pair
         roles = F.broadcast(roles)
-    sent = docs.join(roles, "doc_id").select("doc_id", "text", "roles").mapInArrow(_send_sets(k), "a long, salt long, b long, tokens binary")
-    found = materialize(sent.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(_verify(num, den), "src long, dst long"), "jaccard-links")
+    sent = docs.join(roles, "doc_id").select("doc_id", "text", "roles").mapInArrow(trimmed(_send_sets(k)), "a long, salt long, b long, tokens binary")
+    found = materialize(sent.repartition("a", "salt").sortWithinPartitions("a", "salt").mapInArrow(trimmed(_verify(num, den)), "src long, dst long"), "jaccard-links")
     discard(pairs, degree, salted)
     return found
 
@@ -440,10 +440,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PREFIX_BYTES))
     # A word has about six bytes, so a counter holds some 20 to 40 shingles until the sketch has its full size.
     bits = min(max((chars // 256).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
-    described = materialize(docs.mapInArrow(_describe(k, bits), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
+    described = materialize(docs.mapInArrow(trimmed(_describe(k, bits)), "doc_id long, n long, f1 long, f2 long, sketch binary"), "jaccard-sets")
     levels = spark.sparkContext.broadcast(_levels(described, bits, parts))
-    packed = docs.mapInArrow(_prefixes(k, num, den, parts, bits, levels), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
-    raw = materialize(packed.mapInArrow(_candidates(num, den, bucket or BUCKET), _PAIRS), "jaccard-candidates")
+    packed = docs.mapInArrow(trimmed(_prefixes(k, num, den, parts, bits, levels)), "range int, heads binary, entries binary").repartition(parts, "range").sortWithinPartitions("range")
+    raw = materialize(packed.mapInArrow(trimmed(_candidates(num, den, bucket or BUCKET)), _PAIRS), "jaccard-candidates")
     levels.unpersist()
 
     rows, same = described.where("sketch is null").select("doc_id", "n", "f1", "f2"), ["n", "f1", "f2"]
@@ -506,7 +506,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         others = F.sequence(F.lit(0).cast("long"), F.when(minor, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)
         cells = rest.join(tiles, "anchor").withColumn("tile", tile).withColumn("u", F.explode(others))
         cells = cells.select("anchor", F.least("tile", "u").alias("i"), F.greatest("tile", "u").alias("j"), "rep", "n", "label", "tile").join(sets, "rep")
-        links = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(_cells(num, den), "src long, dst long")
+        links = cells.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j").mapInArrow(trimmed(_cells(num, den)), "src long, dst long")
         labels = joined(labels, materialize(links, "jaccard-links"))
     at = F.coalesce(F.col("rep"), F.col("doc_id"))
     out = known.withColumn("at", at).join(labels, F.col("at") == F.col("node"), "left")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.kernel import LETTERS, SPACES, U, Alphabet, blocks, word_stems
+from lakeloom.llm.kernel import LETTERS, SPACES, U, Alphabet, blocks, trimmed, word_stems
 from lakeloom.plans.storage import materialize
 
 BITS, STEMS = 20, (5, 6, 7)
@@ -163,7 +163,7 @@ def toxicity_scores(
     wanted = positive.select("doc_id", F.lit(1).alias("toxic")).unionByName(some.select("doc_id", F.lit(0).alias("toxic")))
     # At most max_positive + max_unlabelled ids of 12 bytes: bounded by the parameters.
     sample = materialize(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("toxic", "text").repartition(8), "toxic-sample")
-    rates = sample.mapInArrow(_rates, "toxic int, feature long, n long").groupBy("feature").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
+    rates = sample.mapInArrow(trimmed(_rates), "toxic int, feature long, n long").groupBy("feature").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
     size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_p, n_u = size.get(1, 0), size.get(0, 0)
     known, weights, intercept = np.zeros(0, np.int64), np.zeros(0), -50.0
@@ -172,7 +172,7 @@ def toxicity_scores(
         z = (F.col("n1") / n_p - F.col("n0") / n_u) / F.sqrt(all_rate * (1 - all_rate) * F.lit(1 / n_p + 1 / n_u) + 1e-12)
         chosen = rates.where(F.abs(z) > screen).orderBy(F.desc(F.abs(z)), "feature").limit(max_features).select("feature").collect()
         known = np.sort(np.array([r["feature"] for r in chosen], np.int64))
-        rows = sample.mapInArrow(_rows_of(spark.sparkContext.broadcast(known)), "toxic int, features array<int>").collect() if len(known) else []
+        rows = sample.mapInArrow(trimmed(_rows_of(spark.sparkContext.broadcast(known))), "toxic int, features array<int>").collect() if len(known) else []
         part = lambda c: [np.array(r["features"], np.int64) for r in rows if r["toxic"] == c]
         # Unlabelled text is a mixture that holds the toxic one with weight pi, so no feature's share there is below pi
         # times its share among the toxic examples.  The least such bound is the prior: no confirmed negative is needed.
@@ -181,5 +181,5 @@ def toxicity_scores(
         weights, intercept = w[:-1], float(w[-1])
     model = spark.sparkContext.broadcast((known, weights, intercept))
     ready = docs.select("doc_id", fold("doc_id").alias("held_out"), *[f"kept_{i}" for i in range(len(keep))], "text")
-    scored = ready.mapInArrow(_score(model), ready.drop("text").withColumn("score", F.lit(0.0)).schema)
+    scored = ready.mapInArrow(trimmed(_score(model)), ready.drop("text").withColumn("score", F.lit(0.0)).schema)
     return scored.select("doc_id", "held_out", *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)], "score")

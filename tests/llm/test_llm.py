@@ -595,6 +595,24 @@ def test_pieces_tell_whether_they_decode_to_the_text(spark, vocabulary):
     assert all(r["round_trip"] == ("▁" not in (texts[r["doc_id"]] or "")) for r in got)
 
 
+def test_pieces_tools_are_built_once_for_a_model(vocabulary):
+    """A worker that has a model's tables takes no second copy from another query's broadcast, and they are small."""
+
+    class Sent:
+        value = vocabulary
+
+    class Again:
+        @property
+        def value(self):
+            raise AssertionError("read again")
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some words"])], ["doc_id", "text"])
+    one, two = (list(kernel.trimmed(pieces._sample(sent, vocabulary["digest"], 2, 1.0, pieces.BLOCK))(iter([batch]))) for sent in (Sent(), Again()))
+    assert one == two
+    lattices = pieces._tools(Again(), vocabulary["digest"], 1.0)[0]
+    assert sum(x.nbytes for known in lattices.by_length.values() for x in known if isinstance(x, np.ndarray)) < 10e6
+
+
 def test_pieces_follow_the_lattice_law(vocabulary):
     lattices = pieces.Lattices(vocabulary, 0.3)
     ids = {p.decode(): i for i, p in vocabulary["pieces"].items()}
