@@ -1,4 +1,5 @@
 import hashlib
+import re
 import time
 
 import numpy as np
@@ -200,3 +201,43 @@ def test_slots_take_less_than_integer_arithmetic():
         f(h)
         took[f].append(time.perf_counter() - began)
     assert min(took[dedup._slots]) < 0.7 * min(took[_plain_slots])
+
+
+def test_shingles_of_many_texts_are_hashed_together():
+    """Strings of every length about a block of MD5, texts of few words and none, in less time than one by one."""
+    line = bytes(np.random.default_rng(3).integers(33, 127, 4000).astype(np.uint8))
+    start, size = np.arange(3000), np.arange(3000) % 130
+    assert dedup._many_md5(line, start, size).tolist() == [int(hashlib.md5(line[s : s + n]).hexdigest()[:8], 16) for s, n in zip(start.tolist(), size.tolist(), strict=True)]
+    texts = ["a b c d e f", "", "one two", "é" * 30 + " b c d e", "x " * 9, "last"]
+    words = [t.split() for t in texts]
+    grams = [[" ".join(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else w or [""] for w in words]
+    plain = lambda g: [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in g]
+    assert [h.tolist() for h in dedup._hashes(texts)] == [plain(g) for g in grams]
+    assert dedup._hashes([]) == [] and [len(x) for x in dedup._blocks(["a" * dedup._BLOCK, "b", "c"])] == [1, 2]
+    many = [" ".join(f"w{i * j}" for j in range(500)) for i in range(200)]
+    runs = [(t.encode(), [m.start() + 1 for m in re.finditer(" ", t)]) for t in many]
+    together = lambda: dedup._hashes(many)
+    single = lambda: [[hashlib.md5(b[s:e]).digest()[:4] for s, e in zip([0, *c], [x - 1 for x in c[4:]] + [len(b)], strict=False)] for b, c in runs]
+    took = {}
+    for f in (together, single) * 3:
+        began = time.perf_counter()
+        f()
+        took[f] = min(took.get(f, 9e9), time.perf_counter() - began)
+    assert took[together] < took[single]
+
+
+def test_texts_and_signatures_stay_where_they_are(spark, monkeypatch):
+    """Paths are broadcast to them up to a count, whatever Spark takes for small; beyond, the results are the same."""
+    x = make(spark, [("a", "t x y z w v"), ("b", "t x y z w v"), ("c", "t x y z w v u"), ("d", "other")])
+    groups, pairs = dedup.hash_groups(x), dedup.band_links(dedup.minhash_signatures(x))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept, some = dedup.representatives(x, groups), dedup.candidate_docs(x, pairs)
+        assert all("broadcasthashjoin" in _plan(y) and "sortmergejoin" not in _plan(y) for y in (kept, some))
+        monkeypatch.setattr(dedup, "FEW", 0)
+        far_kept, far_some = dedup.representatives(x, groups), dedup.candidate_docs(x, pairs)
+        assert "sortmergejoin" in _plan(far_kept)
+        assert sorted(far_kept.collect()) == sorted(kept.collect()) and sorted(far_some.collect()) == sorted(some.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r[0] for r in kept.collect()} == {"a", "c", "d"}
